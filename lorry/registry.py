@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lorry import oracle as O
-from lorry.plans import ar
+from lorry.plans import ap, ar
 from lorry.sources.tables import Tables
 
 Job = Callable[[Tables], DataFrame]
@@ -38,6 +38,19 @@ for _co in ("control", "trucking"):
              O.ar_detail_sql(_co, "latest", segment=True, absolute=True))
 
 
+# --- accounts payable (R7, R8a-g) ---------------------------------------------
+AS_OF = O.AS_OF
+register("ap_register_header", lambda t: ap.ap_register_header(t), O.ap_register_sql())
+register("ap_register_detail", lambda t: ap.ap_register_detail(t), O.ap_register_sql(detail=True))
+register("ap_v1_header", lambda t: ap.ap_v1_header(t, AS_OF), O.ap_v1_header_sql())
+register("ap_v1_detail", lambda t: ap.ap_v1_detail(t, AS_OF), O.ap_v1_detail_sql())
+register("ap_v2_header", lambda t: ap.ap_v2_header(t, AS_OF), O.ap_trip_header_sql("v2"))
+register("ap_v2_detail", lambda t: ap.ap_v2_detail(t, AS_OF), O.ap_trip_detail_sql())
+register("ap_v3_header", lambda t: ap.ap_v3_header(t, AS_OF), O.ap_trip_header_sql("v3"))
+register("ap_v3_detail", lambda t: ap.ap_v3_detail(t, AS_OF), O.ap_trip_detail_sql())
+register("ap_user3_header", lambda t: ap.ap_user3_header(t, AS_OF), O.ap_user3_header_sql())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, j=job: j(Tables.at(spark, sf_dir))) for k, (job, _) in REPORTS.items()}
 
