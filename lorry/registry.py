@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lorry import oracle as O
-from lorry.plans import ap, ar
+from lorry.plans import ap, ar, intercompany as ic
 from lorry.sources.tables import Tables
 
 Job = Callable[[Tables], DataFrame]
@@ -51,6 +51,16 @@ register("ap_v3_detail", lambda t: ap.ap_v3_detail(t, AS_OF), O.ap_trip_detail_s
 register("ap_user3_header", lambda t: ap.ap_user3_header(t, AS_OF), O.ap_user3_header_sql())
 
 
+# --- inter-company (R10) --------------------------------------------------------
+WHOLE_PERIOD = ("1990-01-01", "2030-12-31")
+register("intercompany_v1", lambda t: ic.intercompany_v1(t, WHOLE_PERIOD),
+         O.intercompany_sql("none", WHOLE_PERIOD, trip_columns=False, skids=False))
+register("intercompany_v2", lambda t: ic.intercompany_v2(t, WHOLE_PERIOD), O.intercompany_sql("none", WHOLE_PERIOD))
+register("intercompany_v3", lambda t: ic.intercompany_v3(t, WHOLE_PERIOD), O.intercompany_sql("inner", WHOLE_PERIOD))
+register("intercompany_procedure", lambda t: ic.intercompany_procedure(t), O.intercompany_sql("inner", bill_prefix="C"))
+register("intercompany_safe", lambda t: ic.intercompany_safe(t), O.intercompany_sql("safe", bill_prefix="C"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, j=job: j(Tables.at(spark, sf_dir))) for k, (job, _) in REPORTS.items()}
 

@@ -10,7 +10,9 @@ rows; the reports themselves are written independently on each side.
 
 Fixed values: fixture adapter definitions (FIXTURES.md section 2), widened
 with derived columns for the inter-company, gross-margin and carrier-contract
-reports.  Keep them in this order: later views read earlier ones.
+reports.  Fractions of money are taken in decimal arithmetic
+(``cast(cast(x as decimal(18,2)) * 0.1 as decimal(18,2))``): multiplying the
+double first rounds differently in the two engines at half-cent ties.  Keep them in this order: later views read earlier ones.
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ select o_orderkey as detail_line_id,
   case when o_orderpriority = '5-LOW' then 'Child' else 'False' end as extra_stops,
   o_custkey as bill_to_code, o_custkey as origin, (o_custkey + o_orderkey % 2) as destination,
   cast(o_totalprice as decimal(18,2)) as total_charges,
-  cast(o_totalprice * 0.8 as decimal(18,2)) as charges,
-  cast(o_totalprice * 0.1 as decimal(18,2)) as xcharges,
-  cast(o_totalprice * 0.05 as decimal(18,2)) as tax_1,
-  cast(o_totalprice * 0.05 as decimal(18,2)) as tax_2,
+  cast(cast(o_totalprice as decimal(18,2)) * 0.8 as decimal(18,2)) as charges,
+  cast(cast(o_totalprice as decimal(18,2)) * 0.1 as decimal(18,2)) as xcharges,
+  cast(cast(o_totalprice as decimal(18,2)) * 0.05 as decimal(18,2)) as tax_1,
+  cast(cast(o_totalprice as decimal(18,2)) * 0.05 as decimal(18,2)) as tax_2,
   cast(o_orderdate as date) as actual_delivery,
   'N' || cast(o_orderkey % 7 as varchar(4)) as origname,
   o_orderkey % 25 as start_zone,
@@ -158,7 +160,7 @@ select l_orderkey * 10 + l_linenumber as order_interliner_id, min(l_suppkey) as
   case when min(l_linestatus) = 'F' then 'S' else 'I' end as interface_status,
   'PB' || cast(min(l_partkey) as varchar(12)) as probill, cast(min(l_shipdate) as date) as src_approval_date,
   sum(cast(l_extendedprice as decimal(18,2))) as amount,
-  sum(cast(l_extendedprice * 0.9 as decimal(18,2))) as adjusted_amount
+  sum(cast(cast(l_extendedprice as decimal(18,2)) * 0.9 as decimal(18,2))) as adjusted_amount
 from {lineitem} group by l_orderkey, l_linenumber
 """,
     "order_interliner_userfields": """
