@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lorry import oracle as O
-from lorry.plans import ap, ar, intercompany as ic
+from lorry.operators import legs as LG, lookups as LK
+from lorry.plans import ap, ar, intercompany as ic, trips
 from lorry.sources.tables import Tables
 
 Job = Callable[[Tables], DataFrame]
@@ -61,6 +62,36 @@ register("intercompany_procedure", lambda t: ic.intercompany_procedure(t), O.int
 register("intercompany_safe", lambda t: ic.intercompany_safe(t), O.intercompany_sql("safe", bill_prefix="C"))
 
 
+# --- trips (R9, R9b) and leg destinations (R13) -----------------------------------
+register("trip_endpoints", trips.trip_endpoints, O.TRIP_ENDPOINTS)
+register("trip_from", trips.trip_from, O.TRIP_FROM)
+register("trip_to", trips.trip_to, O.TRIP_TO)
+register("leg_destinations", trips.leg_destinations, O.LEG_DESTINATIONS)
+
+# --- building blocks, each checked on its own (B1-B28) ------------------------------
+register("latest_audit", lambda t: LK.latest_audit(t.reg_audit), O.LATEST_AUDIT_Q)
+register("bill_traces", lambda t: LK.first_trace(t.trace, {"po": "P", "bol": "1", "order_no": "9"}), O.BILL_TRACES)
+register("trace_list", lambda t: LK.trace_list(t.trace), O.trace_list_sql())
+register("trace_list_y", lambda t: LK.trace_list(t.trace, LK.PICKUP_TRACE_TYPES_Y),
+         O.trace_list_sql(pickup=LK.PICKUP_TRACE_TYPES_Y))
+register("leg_trip", lambda t: LG.leg_trip(t.legsum), O.LEG_TRIP)
+register("bill_miles", lambda t: LG.bill_miles(t.legsum, t.ilegdtl), O.BILL_MILES)
+register("carrier_miles", lambda t: LG.carrier_miles(t.legsum), O.CARRIER_MILES)
+register("carrier_pay", lambda t: LG.carrier_pay(t.order_interliner), O.CARRIER_PAY)
+register("split_bills", lambda t: LG.split_bills(t.ilegdtl), O.SPLIT_BILLS)
+register("extra_charges", lambda t: LG.extra_charges(t.tlorder), O.EXTRA_CHARGES)
+register("skid_units", lambda t: LK.skid_units(t.tldtl), O.SKID_UNITS)
+register("safe_zone", lambda t: LK.safe_zone(t.zone), O.SAFE_ZONE)
+register("terminal_flags", lambda t: LG.terminal_flags(t.legsum, t.zone).select("ls_leg_id", "term_orig", "term_dest"),
+         O.TERMINAL_FLAGS)
+register("stop_numbers", lambda t: LG.stop_number(t.legdtl, t.tlorder, "P").unionByName(LG.stop_number(t.legdtl, t.tlorder, "D")),
+         O.stop_number_sql())
+register("milestones", lambda t: LK.milestones(t.odrstat), O.MILESTONES)
+register("port_of_entry", lambda t: LK.port_of_entry(t.tlorder_customs, t.edi_ace_res_codes, t.edi_aci_res_codes),
+         O.PORT_OF_ENTRY)
+register("notes_lookup", lambda t: LK.notes_lookup(t.notes, "TLORDER", {"note_p": "1", "note_d": "2"}), O.NOTES_LOOKUP)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, j=job: j(Tables.at(spark, sf_dir))) for k, (job, _) in REPORTS.items()}
 
