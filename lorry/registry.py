@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lorry import oracle as O
 from lorry.operators import legs as LG, lookups as LK
-from lorry.plans import ap, ar, intercompany as ic, trips
+from lorry.plans import ap, ar, intercompany as ic, pay, period, trips
 from lorry.sources.tables import Tables
 
 Job = Callable[[Tables], DataFrame]
@@ -92,6 +92,17 @@ register("port_of_entry", lambda t: LK.port_of_entry(t.tlorder_customs, t.edi_ac
 register("notes_lookup", lambda t: LK.notes_lookup(t.notes, "TLORDER", {"note_p": "1", "note_d": "2"}), O.NOTES_LOOKUP)
 
 
+# --- driver pay (R12, R12b, R16, R18) and billing cut-off (R17) -------------------
+for _neg in ("carry", "show"):
+    register(f"driver_pay_{_neg}", lambda t, n=_neg: pay.driver_pay(t, None, n), O.driver_pay_sql(_neg))
+    register(f"driver_pay_summary_{_neg}", lambda t, n=_neg: pay.driver_pay_summary(t, None, n),
+             O.driver_pay_summary_sql(_neg))
+register("driver_pay_dates", lambda t: pay.driver_pay_dates(t, None, "12/31/2023"), O.driver_pay_dates_sql("2023-12-31"))
+register("pay_reallocation", lambda t: pay.pay_reallocation(t, "2024-12-31"), O.pay_reallocation_sql("2024-12-31"))
+register("invoiced_cutoff", lambda t: period.invoiced_cutoff(t, "2030-01-01", "1990-01-01", "2030-12-31"),
+         O.invoiced_cutoff_sql("2030-01-01", "1990-01-01", "2030-12-31"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, j=job: j(Tables.at(spark, sf_dir))) for k, (job, _) in REPORTS.items()}
 
