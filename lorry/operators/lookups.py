@@ -104,9 +104,10 @@ def code_description(codes: DataFrame, seg_name: str = "PR", ele_nbr: int = 1, o
     )
 
 
-def port_of_entry(customs: DataFrame, ace: DataFrame, aci: DataFrame) -> DataFrame:
-    """Per bill with a default-broker customs row, the port description:
-    origin country CA reads the ACE table, anything else (NULL too) the ACI table.
+def port_of_entry(customs: DataFrame, ace: DataFrame, aci: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Per default-broker customs row, the port description: origin
+    country CA reads the ACE table, anything else (NULL too) the ACI table.
+    ``keep`` carries more customs columns along (one output row per customs row).
     """
     c = customs.filter(F.col("default_broker") == "True")
     ace_d = code_description(ace, out="ace_desc").withColumnRenamed("value", "ace_value")
@@ -114,6 +115,7 @@ def port_of_entry(customs: DataFrame, ace: DataFrame, aci: DataFrame) -> DataFra
     c = c.join(ace_d, c.port_of_entry == ace_d.ace_value, "left").join(aci_d, c.port_of_entry == aci_d.aci_value, "left")
     return c.select(
         "detail_line_id",
+        *keep,
         F.when(F.col("orig_country") == "CA", F.col("ace_desc")).otherwise(F.col("aci_desc")).alias("port_of_entry"),
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lorry import oracle as O
 from lorry.operators import legs as LG, lookups as LK
-from lorry.plans import ap, ar, intercompany as ic, margin, pay, period, trips
+from lorry.plans import ap, ar, contract, intercompany as ic, margin, pay, period, trips
 from lorry.sources.tables import Tables
 
 Job = Callable[[Tables], DataFrame]
@@ -107,6 +107,11 @@ register("invoiced_cutoff", lambda t: period.invoiced_cutoff(t, "2030-01-01", "1
 register("gross_margin", margin.gross_margin, O.GROSS_MARGIN)
 
 
+# --- carrier contract (R14) ------------------------------------------------------------
+register("contract_stop_rows", lambda t: contract.stop_rows(t), O.contract_stop_rows_sql())
+register("carrier_contract", lambda t: contract.carrier_contract(t), O.carrier_contract_sql())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, j=job: j(Tables.at(spark, sf_dir))) for k, (job, _) in REPORTS.items()}
 
