@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import uuid
+
 from lorry.functions.dates import parse_date
+from lorry.session import ensure_checkpoint_dir
+from lorry.sources.pay_export import export_pay_report, read_pay_export
 from lorry.sources.tables import Tables
 
 MONEY = "decimal(18,2)"
@@ -100,3 +104,13 @@ def pay_reallocation(t: Tables, pay_date, fuel_codes=("FSC", "FUEL")) -> DataFra
     return p.groupBy("driver_id").agg(
         F.sum("total_pay_amt").cast(MONEY).alias("payable"), F.sum(fuel).cast(MONEY).alias("fuel")
     )
+
+
+def pay_report_roundtrip(t: Tables, statement_date=None, negatives: str = "carry", path: str | None = None) -> DataFrame:
+    """Write the R12b summary as report-layout CSV into the shared
+    folder and read it back (B22); the result must reconcile with R12b."""
+    spark = t.spark
+    if path is None:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pay-export-{uuid.uuid4().hex}"
+    export_pay_report(driver_pay_summary(t, statement_date, negatives), path)
+    return read_pay_export(spark, path)

@@ -97,6 +97,7 @@ for _neg in ("carry", "show"):
     register(f"driver_pay_{_neg}", lambda t, n=_neg: pay.driver_pay(t, None, n), O.driver_pay_sql(_neg))
     register(f"driver_pay_summary_{_neg}", lambda t, n=_neg: pay.driver_pay_summary(t, None, n),
              O.driver_pay_summary_sql(_neg))
+register("pay_report_roundtrip", lambda t: pay.pay_report_roundtrip(t), O.driver_pay_summary_sql("carry"))
 register("driver_pay_dates", lambda t: pay.driver_pay_dates(t, None, "12/31/2023"), O.driver_pay_dates_sql("2023-12-31"))
 register("pay_reallocation", lambda t: pay.pay_reallocation(t, "2024-12-31"), O.pay_reallocation_sql("2024-12-31"))
 register("invoiced_cutoff", lambda t: period.invoiced_cutoff(t, "2030-01-01", "1990-01-01", "2030-12-31"),

@@ -3,31 +3,41 @@
 Reports take a :class:`Tables` and read the freight tables by name
 (``t.tlorder``, ``t["legsum"]``).  Here the freight tables are the fixture
 views over the driver's parquet files (see :mod:`fixture_sql`); on a real
-cluster the same accessor would point at the production tables.  Reusing
-one DataFrame object per table lets Spark reuse scans and exchanges when a
-report reads a table twice.
+cluster the same accessor would point at the production tables.
+
+The fixture views are *prepared once*: each is written as a parquet table in
+the shared folder named by ``spark.checkpoint.dir`` (keyed by the data
+directory and the view's SQL text) and then read back like any stored table,
+so reports scan columnar files with pushed-down filters instead of
+re-deriving their inputs from the raw tables on every run.  Pass
+``prepared=False`` to read the views as live queries instead.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from lorry.sources.fixture_sql import BASE_TABLES, FIXTURES, dependencies
+from lorry.session import ensure_checkpoint_dir
+from lorry.sources.fixture_sql import BASE_TABLES, FIXTURES, closure, dependencies
 
-_CACHE: dict[tuple[int, str], "Tables"] = {}
+_CACHE: dict[tuple[int, str, bool], "Tables"] = {}
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, prepared: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.prepared = prepared
         self._frames: dict[str, DataFrame] = {}
 
     @classmethod
-    def at(cls, spark: SparkSession, sf_dir: str) -> "Tables":
-        key = (id(spark), sf_dir.rstrip("/"))
+    def at(cls, spark: SparkSession, sf_dir: str, prepared: bool = True) -> "Tables":
+        key = (id(spark), sf_dir.rstrip("/"), prepared)
         if key not in _CACHE:
-            _CACHE[key] = cls(spark, sf_dir)
+            _CACHE[key] = cls(spark, sf_dir, prepared)
         return _CACHE[key]
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -41,10 +51,37 @@ class Tables:
             raise AttributeError(name)
         return self[name]
 
+    def _view(self, name: str) -> DataFrame:
+        deps = {d: self[d] for d in dependencies(name)}
+        return self.spark.sql(FIXTURES[name], **deps)
+
     def _build(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name not in FIXTURES:
             raise KeyError(f"unknown table {name!r}")
-        deps = {d: self[d] for d in dependencies(name)}
-        return self.spark.sql(FIXTURES[name], **deps)
+        if not self.prepared:
+            return self._view(name)
+        path = self._prepared_path(name)
+        if not self._complete(path):
+            self._view(name).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _prepared_path(self, name: str) -> str:
+        h = hashlib.sha1()
+        h.update(self.sf_dir.encode())
+        for n in closure([name]):
+            h.update(FIXTURES[n].encode())
+        for base in BASE_TABLES:
+            p = f"{self.sf_dir}/{base}.parquet"
+            if os.path.exists(p):
+                st = os.stat(p)
+                h.update(f"{base}:{st.st_size}:{int(st.st_mtime)}".encode())
+        root = ensure_checkpoint_dir(self.spark).rstrip("/")
+        return f"{root}/lorry-tables/{h.hexdigest()[:16]}/{name}"
+
+    def _complete(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+        return p.getFileSystem(conf).exists(p)
