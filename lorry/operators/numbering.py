@@ -8,8 +8,8 @@ batch can hold a third of the data, so the default path here is distributed:
 
 1. range-partition the rows on (batch, order keys) and sort each partition;
 2. tag every row with its partition id and its position inside the partition
-   (``monotonically_increasing_id`` is consecutive within a partition), then
-   cut the lineage with ``checkpoint()`` into the shared checkpoint folder.
+   (``monotonically_increasing_id`` is consecutive within a partition), and
+   write the tagged rows once to the shared checkpoint folder (a lineage cut).
    Both later branches must see the *same* tags: left to the optimizer, the
    two branches prune different columns, stop sharing the range exchange and
    sample different range bounds (rows then lose their offsets);
@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lorry.session import ensure_checkpoint_dir
+from lorry.session import stage
 
 
 def _as_col(c: str | Column) -> Column:
@@ -60,15 +60,14 @@ def number_items(
         raise ValueError(f"unknown numbering method {method!r}")
 
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(b).asc_nulls_last() for b in batch] + order_cols
-    tagged = (
+    tagged = stage(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_nb_part", F.spark_partition_id())
-        .withColumn("_nb_pos", F.monotonically_increasing_id())
-        .checkpoint(eager=False)
+        .withColumn("_nb_pos", F.monotonically_increasing_id()),
+        "numbering",
     )
     before = Window.partitionBy(*batch).orderBy("_nb_part").rowsBetween(Window.unboundedPreceding, -1)
     spans = (

@@ -9,7 +9,8 @@ shipping instructions and empty-leg rows.  Here the same result is built for
 1. :func:`terminal_flags` (B18) for every leg whose two zones are known;
 2. the stop rows, as a union of five set-based producers
    (terminal pickup / terminal delivery / shipper pickup / consignee
-   delivery / empty leg) -- this is the temp table, as a DataFrame;
+   delivery / empty leg) -- this is the temp table, written once to the
+   shared checkpoint folder because all three sections read it;
 3. the three output sections over the stop rows, aligned to one 96-column
    schema.
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lorry.operators.legs import carrier_spans, stop_number, terminal_flags
 from lorry.operators.lookups import PICKUP_TRACE_TYPES, notes_lookup, port_of_entry, trace_list
+from lorry.session import stage
 from lorry.sources.tables import Tables
 
 TERM_ORIG = ("term_origname", "term_origaddr1", "term_origaddr2", "term_origcity", "term_origprov", "term_origpc")
@@ -75,7 +77,8 @@ def stop_rows(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PI
     legs = t.legsum
     if leg_ids is not None:
         legs = legs.join(leg_ids.select("ls_leg_id").distinct(), "ls_leg_id", "left_semi")
-    flags = terminal_flags(legs, t.zone)
+    # one row per leg, read by five producers: written once
+    flags = stage(terminal_flags(legs, t.zone), "contract-flags")
     # carrier spans use the whole trip, not just the selected legs
     spans = carrier_spans(t.legsum).select(
         F.col("ls_trip_number").alias("_sp_trip"), F.col("ls_interliner").alias("_sp_carrier"),
@@ -141,9 +144,13 @@ def stop_rows(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PI
 
 
 
-def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PICKUP_TRACE_TYPES) -> DataFrame:
+def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PICKUP_TRACE_TYPES,
+                     stage_stops: bool = True) -> DataFrame:
     """R14 for the legs in ``leg_ids`` (a frame with ``ls_leg_id``), or all legs."""
+    # the procedure's temp table, read by all three sections: written once
     stops = stop_rows(t, leg_ids, pickup_trace_types)
+    if stage_stops:
+        stops = stage(stops, "contract-stops")
     bill_cols = [
         "detail_line_id", "bill_number", "origin", "destination", "requested_equipmen",
         "pick_up_by", "pick_up_by_end", "deliver_by", "deliver_by_end",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lorry") -> SparkSession:
@@ -44,3 +45,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and
+    read it back.
+
+    Used where one intermediate feeds several branches of a plan (the
+    carrier contract's stop table, the numbering tags): Spark would
+    otherwise recompute it per branch, and a branch that recomputes
+    nondeterministic tags could see different values.  The write is a
+    lineage cut that survives executor loss.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/lorry-stage/{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

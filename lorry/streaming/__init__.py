@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reports this library rebuilds are batch SELECTs and stored procedures
+over an operational database; none has a watermark, window, state or
+late-data concept, so there is no Structured Streaming job here.  Every
+report is a plain DataFrame function and can be run from a scheduler (or a
+``foreachBatch`` sink) without change.
+"""
