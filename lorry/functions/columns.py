@@ -16,6 +16,17 @@ COMPANY_ACCOUNTS = {
 AP_EXPENSE_ACCOUNT = "01-4000-00"
 
 
+# Fixed value: the source database compares text linguistically, not by bytes
+# ("MONTREAL-EST" < "MONTREAL-NORD" < "MONTREAL,"); ICU root order reproduces it.
+TEXT_COLLATION = "UNICODE"
+
+
+def text_key(c: str | Column) -> Column:
+    """A text sort key in the source's order (ascending, NULL last).  Only the
+    sort expression is collated; output columns stay plain strings."""
+    return F.collate(col(c), TEXT_COLLATION).asc_nulls_last()
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

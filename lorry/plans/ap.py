@@ -18,7 +18,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorry.functions.columns import AP_EXPENSE_ACCOUNT, abs_amount, account_segment, credit_sign, gl_line_code, signed_amount
+from lorry.functions.columns import (
+    AP_EXPENSE_ACCOUNT, abs_amount, account_segment, credit_sign, gl_line_code, signed_amount, text_key,
+)
 from lorry.operators.legs import leg_trip
 from lorry.operators.numbering import number_items
 from lorry.sources.tables import Tables
@@ -44,7 +46,7 @@ def _ap_register(t: Tables, audit, method: str) -> DataFrame:
         a = a.filter(F.col("source_audit") == F.lit(audit))
     v = t.vendor.select("vendor_id", "user3")
     x = a.join(v, "vendor_id", "inner")
-    order = [F.col("user3").asc_nulls_last(), F.col("bill_number").asc_nulls_last(), F.col("ap_bill_id")]
+    order = [text_key("user3"), text_key("bill_number"), F.col("ap_bill_id")]
     return number_items(x, ["source_audit"], order, method=method)
 
 
@@ -63,7 +65,7 @@ def ap_register_header(t: Tables, audit=None, method: str = "range") -> DataFram
         F.col("tx_amt").alias("amtgrostot"),
         F.lit("1").alias("swmantx"),
     )
-    return out.orderBy("cntbtch", F.col("idcust").asc_nulls_last(), F.col("idinvc").asc_nulls_last())
+    return out.orderBy("cntbtch", text_key("idcust"), text_key("idinvc"))
 
 
 def ap_register_detail(t: Tables, audit=None, method: str = "range") -> DataFrame:
@@ -79,7 +81,7 @@ def ap_register_detail(t: Tables, audit=None, method: str = "range") -> DataFram
         F.col("gl_acct_id").alias("idglacct"),
         credit_sign("tx_type", "tx_amt").alias("amtdist"),
     )
-    return out.orderBy("cntbtch", "cntitem", "cntline", F.col("idglacct").asc_nulls_last())
+    return out.orderBy("cntbtch", "cntitem", "cntline", text_key("idglacct"))
 
 
 # --- R8: interliner accruals --------------------------------------------------
@@ -141,7 +143,7 @@ def ap_v1_header(t: Tables, as_of=None, method: str = "range") -> DataFrame:
 
 def _v1_header(t: Tables, as_of, method: str) -> DataFrame:
     g = _v1_groups(t, "abs").withColumn("cntbtch", _batch(as_of))
-    order = [F.col("idvend").asc_nulls_last(), F.col("idinvc").asc_nulls_last(), F.col("order_interliner_id")]
+    order = [text_key("idvend"), text_key("idinvc"), F.col("order_interliner_id")]
     return number_items(g, ["cntbtch"], order, method=method)
 
 
@@ -154,14 +156,14 @@ def ap_v1_detail(t: Tables, as_of=None, method: str = "range") -> DataFrame:
         "cntbtch", "cntitem", F.lit("40").alias("cntline"), F.lit("0").alias("amttax1"), F.lit("0").alias("amttax2"),
         account_segment("acct_code").alias("idglacct"), abs_amount("debit_amt", "credit_amt").alias("amtdist"),
     )
-    return out.orderBy("cntbtch", "cntitem", F.col("idglacct").asc_nulls_last())
+    return out.orderBy("cntbtch", "cntitem", text_key("idglacct"))
 
 
 def ap_user3_header(t: Tables, as_of=None, method: str = "range") -> DataFrame:
     """R8g: v1 with the numeric vendor id and the *signed* net (offsetting lines drop)."""
     g = _v1_groups(t, "signed").withColumn("cntbtch", _batch(as_of))
     order = [
-        F.col("idvend").asc_nulls_last(), F.col("vendor_id").asc_nulls_last(), F.col("idinvc").asc_nulls_last(),
+        text_key("idvend"), F.col("vendor_id").asc_nulls_last(), text_key("idinvc"),
         F.col("order_interliner_id"),
     ]
     h = number_items(g, ["cntbtch"], order, method=method)
@@ -189,8 +191,8 @@ def _trip_header(t: Tables, as_of, version: str, method: str) -> DataFrame:
             F.max("probill").alias("probill"), F.sum("_gross").alias("amtgrostot"))
     g = g.filter(F.col("amtgrostot") != 0).withColumn("cntbtch", _batch(as_of))
     order = [
-        F.col("idvend").asc_nulls_last(), F.col("trip_number").asc_nulls_last(),
-        F.col("description").asc_nulls_last(), F.col("dateinvc").asc_nulls_last(), F.col("probill").asc_nulls_last(),
+        text_key("idvend"), F.col("trip_number").asc_nulls_last(),
+        text_key("description"), text_key("dateinvc"), text_key("probill"),
     ]
     h = number_items(g, ["cntbtch"], order, method=method)
     return h.select(
@@ -216,7 +218,7 @@ def ap_v2_detail(t: Tables, as_of=None, method: str = "range") -> DataFrame:
     x = _trip_lines(t, userfields=False)
     h = x.groupBy("idvend", "trip_number").agg(F.sum("_gross").alias("_tot")).filter(F.col("_tot") != 0)
     h = h.withColumn("cntbtch", _batch(as_of))
-    h = number_items(h, ["cntbtch"], [F.col("idvend").asc_nulls_last(), F.col("trip_number").asc_nulls_last()], method=method)
+    h = number_items(h, ["cntbtch"], [text_key("idvend"), F.col("trip_number").asc_nulls_last()], method=method)
 
     lm = leg_trip(t.legsum)
     oi = _approved(t, userfields=False).select("order_interliner_id", "legid")
@@ -232,7 +234,7 @@ def ap_v2_detail(t: Tables, as_of=None, method: str = "range") -> DataFrame:
         "cntbtch", "cntitem", F.lit("40").alias("cntline"), F.lit("0").alias("amttax1"), F.lit("0").alias("amttax2"),
         "idglacct", "amtdist",
     )
-    return out.orderBy("cntbtch", "cntitem", F.col("idglacct").asc_nulls_last())
+    return out.orderBy("cntbtch", "cntitem", text_key("idglacct"))
 
 
 ap_v3_detail = ap_v2_detail

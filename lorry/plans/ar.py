@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorry.functions.columns import account_segment, company_accounts, gl_line_code
+from lorry.functions.columns import account_segment, company_accounts, gl_line_code, text_key
 from lorry.operators.lookups import first_trace, latest_audit
 from lorry.operators.numbering import number_items
 from lorry.sources.tables import Tables
@@ -43,8 +43,8 @@ def _with_company_gl(t: Tables, bills: DataFrame, company: str) -> DataFrame:
 
 def _number(bills: DataFrame, method: str) -> DataFrame:
     order = [
-        F.col("user3").asc_nulls_last(),
-        F.col("bill_number").asc_nulls_last(),
+        text_key("user3"),
+        text_key("bill_number"),
         F.col("detail_line_id").asc_nulls_last(),  # unique last key: deterministic
     ]
     return number_items(bills, ["interface_status_f"], order, out="cntitem", method=method)
@@ -75,9 +75,7 @@ def ar_header(t: Tables, company: str | None = None, audit=None, number: str = "
         F.col("total_charges").alias("amtinvctot"),
         F.lit("1").alias("swmantx"),
     )
-    return out.orderBy(
-        F.col("cntbtch").asc_nulls_last(), F.col("cntitem"), F.col("idcust").asc_nulls_last(), F.col("idinvc").asc_nulls_last()
-    )
+    return out.orderBy(F.col("cntbtch").asc_nulls_last(), F.col("cntitem"), text_key("idcust"), text_key("idinvc"))
 
 
 def ar_detail(t: Tables, company: str | None = None, audit=None, segment: bool = False,
@@ -104,7 +102,7 @@ def ar_detail(t: Tables, company: str | None = None, audit=None, segment: bool =
         amount.alias("distnethc"),
         amount.alias("amtectnhc"),
     )
-    return out.orderBy("cntbtch", "cntitem", "cntline", F.col("idacctrev").asc_nulls_last())
+    return out.orderBy("cntbtch", "cntitem", "cntline", text_key("idacctrev"))
 
 
 # Named report forms ---------------------------------------------------------

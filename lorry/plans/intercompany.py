@@ -29,7 +29,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorry.functions.columns import prorate, share, zone_label
+from lorry.functions.columns import prorate, share, text_key, zone_label
 from lorry.operators.legs import bill_miles, carrier_miles, carrier_pay, extra_charges, split_bills
 from lorry.operators.lookups import safe_zone, skid_units
 from lorry.sources.tables import Tables
@@ -122,7 +122,7 @@ def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix:
     ]
     if skids:
         cols += [F.col("pallets").alias("skids"), F.col("skid_units")]
-    return x.select(*cols).orderBy(F.col("bill_number").asc_nulls_last(), "trip_number", "leg")
+    return x.select(*cols).orderBy(text_key("bill_number"), "trip_number", "leg")
 
 
 # Named lineage forms ------------------------------------------------------------

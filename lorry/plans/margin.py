@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorry.functions.columns import margin_percent, non_blank
+from lorry.functions.columns import margin_percent, non_blank, text_key
 from lorry.operators.lookups import feet, first_trace, milestones
 from lorry.sources.tables import Tables
 
@@ -86,4 +86,4 @@ def gross_margin(t: Tables) -> DataFrame:
         margin_percent("margin", "revenue_total").alias("margin_percent"),
         "sales_agent", "created_by",
         F.when(non_blank("driver_1"), F.round("revenue_total", 2)).otherwise(F.lit(0)).alias("tlt_charge"),
-    ).orderBy(F.col("company").asc_nulls_last(), "trip", "leg")
+    ).orderBy(text_key("company"), "trip", "leg")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import uuid
 
+from lorry.functions.columns import text_key
 from lorry.functions.dates import parse_date
 from lorry.session import ensure_checkpoint_dir
 from lorry.sources.pay_export import export_pay_report, read_pay_export
@@ -79,7 +80,7 @@ def driver_pay_summary(t: Tables, statement_date=None, negatives: str = "carry")
         *[F.sum(m).cast(MONEY).alias(m) for m in MEASURES]
     )
     return g.select("pay_type", F.col("name").alias("driver"), "pay_date", *MEASURES).orderBy(
-        "pay_type", F.col("driver").asc_nulls_last(), "pay_date"
+        text_key("pay_type"), text_key("driver"), "pay_date"
     )
 
 

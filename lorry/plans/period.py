@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lorry.functions.columns import text_key
 from lorry.functions.dates import first_day_last_month, last_day_last_month, parse_date, run_note, us_date_text
 from lorry.sources.tables import Tables
 
@@ -36,4 +37,4 @@ def invoiced_cutoff(t: Tables, delivered_before, invoiced_from, invoiced_to) ->
         & (F.col("actual_delivery") < F.lit(parse_date(delivered_before)))
         & F.col("bill_date").between(F.lit(parse_date(invoiced_from)), F.lit(parse_date(invoiced_to)))
     )
-    return b.select("bill_number", "actual_delivery", "bill_date", "total_charges").orderBy("bill_number")
+    return b.select("bill_number", "actual_delivery", "bill_date", "total_charges").orderBy(text_key("bill_number"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorry.functions.columns import text_key
 from lorry.operators.legs import trip_endpoints as _endpoints
 from lorry.sources.tables import Tables
 
@@ -28,4 +29,4 @@ def leg_destinations(t: Tables) -> DataFrame:
     """Distinct upper-cased leg destinations in the source's text order:
     linguistic (not byte) order via the UNICODE collation, NULL last."""
     d = t.legsum.select(F.upper("legd_zone_desc").alias("leg_to")).distinct()
-    return d.orderBy(F.collate(F.col("leg_to"), "UNICODE").asc_nulls_last())
+    return d.orderBy(text_key("leg_to"))

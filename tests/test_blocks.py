@@ -151,3 +151,19 @@ def test_period_bounds(spark):
     assert (r.first_day_last_month, r.last_day_last_month) == (dt.date(2025, 2, 1), dt.date(2025, 2, 28))
     note = period.report_run_note(spark, dt.datetime(2025, 4, 17, 9, 5, 1)).collect()[0][0]
     assert note == "This report was run on 04/17/2025 at 09:05:01"
+
+
+# --- T2 inside ROW_NUMBER: item numbers follow the linguistic order ----------------------
+def test_numbering_uses_linguistic_order(spark, frames):
+    from lorry.plans import ar
+
+    custs = ["MONTREAL, QC", "MONTREAL-NORD", "MONTREAL-EST", None]
+    tl = spark.createDataFrame([(i + 1, f"C{i:03d}", 202501, "False", i + 10, D("1.00")) for i in range(4)],
+                               "detail_line_id long, bill_number string, interface_status_f int, extra_stops string, "
+                               "bill_to_code long, total_charges decimal(18,2)")
+    t = frames(tlorder=tl,
+               client=spark.createDataFrame([(i + 10, c) for i, c in enumerate(custs)], "client_id long, user3 string"),
+               trace=spark.createDataFrame([], "detail_number long, trace_type string, trace_number string, trace_desc string"))
+    for method in ("range", "window"):
+        got = [r.idcust for r in ar.ar_header(t, None, None, method=method).collect()]
+        assert got == ["MONTREAL-EST", "MONTREAL-NORD", "MONTREAL, QC", None]
