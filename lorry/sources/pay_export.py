@@ -19,12 +19,18 @@ keeps line order exact even for uncompressed files that Spark would split.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The per-partition layout step runs in Python workers; ship it by value so
+# executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The export's header row.
 HEADER = ("driver ", "pay date", "subsistance", "hours", "overtime", "other", "Net", None)
 FIELDS = [f"c{i}" for i in range(8)]
