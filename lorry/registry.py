@@ -111,6 +111,9 @@ register("gross_margin", margin.gross_margin, O.GROSS_MARGIN)
 # --- carrier contract (R14) ------------------------------------------------------------
 register("contract_stop_rows", lambda t: contract.stop_rows(t), O.contract_stop_rows_sql())
 register("carrier_contract", lambda t: contract.carrier_contract(t), O.carrier_contract_sql())
+# the "pick up modification" source: pickup traces list type 'Y' instead of '1'
+register("carrier_contract_pickup_y", lambda t: contract.carrier_contract(t, pickup_trace_types=LK.PICKUP_TRACE_TYPES_Y),
+         O.carrier_contract_sql(pickup=LK.PICKUP_TRACE_TYPES_Y))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

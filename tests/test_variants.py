@@ -73,3 +73,31 @@ def test_variants_differ_on_fixture(spark, sf_dir):
     assert _rows(spark, sf_dir, "ap_v1_header") != _rows(spark, sf_dir, "ap_user3_header")
     assert _rows(spark, sf_dir, "ar_detail_filtered_v1_control") != _rows(spark, sf_dir, "ar_detail_filtered_v2_control")
     assert _rows(spark, sf_dir, "trace_list") != _rows(spark, sf_dir, "trace_list_y")
+
+
+def test_trip_header_grain_v2_vs_v3(spark, frames):  # T4: two probills on one trip
+    oi = spark.createDataFrame([
+        (11, 5, 1, 110, 0, "M", "S", "PB1", dt.date(2025, 4, 1)),
+        (12, 5, 1, 120, 0, "M", "S", "PB2", dt.date(2025, 4, 1)),
+    ], "order_interliner_id long, interliner_id long, detail_line_id long, legid long, child_detail_line_id long, "
+       "child_type string, interface_status string, probill string, src_approval_date date")
+    gl = spark.createDataFrame([(11, "IP Source Register", "01-4000-00", D("10.00"), D("0.00")),
+                                (12, "IP Source Register", "01-4000-00", D("0.00"), D("5.00"))],
+                               "order_interliner_id long, source_type string, acct_code string, debit_amt decimal(18,2), credit_amt decimal(18,2)")
+    legsum = spark.createDataFrame([(110, 900), (120, 900)], "ls_leg_id long, ls_trip_number long")
+    t = frames(order_interliner=oi, order_interliner_userfields=oi.select("order_interliner_id"), ip_gl=gl, legsum=legsum,
+               vendor=spark.createDataFrame([(5, "V5", "Vendor Five")], "vendor_id long, user3 string, name string"))
+    v2 = sorted((r.cntitem, r.idinvc, r.ordrnbr, r.amtgrostot) for r in ap.ap_v2_header(t, "2025-05-01").collect())
+    v3 = sorted((r.cntitem, r.idinvc, r.ordrnbr, r.amtgrostot) for r in ap.ap_v3_header(t, "2025-05-01").collect())
+    assert v2 == [(1, 900, "PB1", D("10.00")), (2, 900, "PB2", D("5.00"))]
+    assert v3 == [(1, 900, "PB2", D("15.00"))]
+    d = [(r.cntitem, r.idglacct, r.amtdist) for r in ap.ap_v2_detail(t, "2025-05-01").collect()]
+    assert d == [(1, "4000", D("15.00"))]
+
+
+def test_safe_zone_removes_duplicates(spark):
+    from lorry.operators.lookups import safe_zone
+
+    zone = spark.createDataFrame([(1, "P1", "False"), (1, "P2", "True"), (2, "P3", "False")],
+                                 "zone_id long, province string, is_terminal string")
+    assert sorted(tuple(r) for r in safe_zone(zone).collect()) == [(1, "P2", "True"), (2, "P3", "False")]
