@@ -59,11 +59,12 @@ def number_items(
     if method != "range":
         raise ValueError(f"unknown numbering method {method!r}")
 
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(b).asc_nulls_last() for b in batch] + order_cols
+    # without an explicit count AQE sizes the ranges from the data (merging
+    # adjacent ranges keeps them contiguous, which is all the offsets need)
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     tagged = stage(
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_nb_part", F.spark_partition_id())
         .withColumn("_nb_pos", F.monotonically_increasing_id()),

@@ -62,3 +62,35 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{root}/lorry-stage/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_settings(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for the data volume (e.g. 100 TB on ~1000 executors).
+
+    Shuffle partitions are sized so each reduce task handles about
+    ``target_partition_bytes`` (spill-free on a 4-core / 16 GB executor);
+    file splits match; AQE coalesces small partitions, splits skewed ones
+    and converts joins to broadcasts only after measuring their size.
+    """
+    partitions = max(200, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.exchange.reuse": "true",
+    }
+
+
+def apply_cluster_settings(spark: SparkSession, input_bytes: int, **kw) -> None:
+    """Apply :func:`cluster_settings` to a running session (runtime SQL confs
+    only; settings already made explicitly by the job are left alone)."""
+    for k, v in cluster_settings(input_bytes, **kw).items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)

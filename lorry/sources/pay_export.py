@@ -72,11 +72,11 @@ def _layout(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def export_pay_report(summary: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write a pay summary (R12b columns) as report-layout CSV files."""
-    spark = summary.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col("pay_type").asc_nulls_last(), F.col("driver").asc_nulls_last(), F.col("pay_date").asc_nulls_last()]
+    # AQE sizes the ranges unless a file count is asked for; each range is one file
+    ranged = summary.repartitionByRange(partitions, *keys) if partitions else summary.repartitionByRange(*keys)
     rows = (
-        summary.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .select(
             "pay_type",

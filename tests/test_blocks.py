@@ -47,7 +47,7 @@ def test_blank_rules(spark):
 
 
 # --- B2: distributed numbering == window numbering, with a hot batch ---------------------
-@pytest.mark.parametrize("partitions", [1, 3, 16])
+@pytest.mark.parametrize("partitions", [None, 1, 3, 16])
 def test_number_items_range_equals_window(spark, partitions):
     rnd = random.Random(7)
     data = []
