@@ -145,7 +145,7 @@ def stop_rows(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PI
 
 
 def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PICKUP_TRACE_TYPES,
-                     stage_stops: bool = True) -> DataFrame:
+                     stage_stops: bool = True, stage_bills: bool = True) -> DataFrame:
     """R14 for the legs in ``leg_ids`` (a frame with ``ls_leg_id``), or all legs."""
     # the procedure's temp table, read by all three sections: written once
     stops = stop_rows(t, leg_ids, pickup_trace_types)
@@ -158,32 +158,36 @@ def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_t
         "tarp", "high_value", "dangerous_goods", "pick_up_appt_req", "pick_up_appt_made", "delivery_appt_req",
         "delivery_appt_made", "pick_up_appt", "delivery_appt",
     ]
+    # per bill on the sheet: the bill columns and every bill-keyed lookup, built
+    # once (staged) and joined to the stop rows of both freight and instruction sections
     tl = t.tlorder.select(*[F.col(c).alias(f"t_{c}") for c in bill_cols])
-    x = stops.join(tl, stops.detail_line_id == tl.t_detail_line_id, "inner")
-    legs = t.legsum.select(F.col("ls_leg_id").alias("_s_leg"), "ls_from_zone", "ls_to_zone")
-    x = x.join(legs, x.leg_id == legs._s_leg, "inner")
-
-    # bill-keyed lookups (one partitioning on the bill id)
+    tl = tl.join(stops.select(F.col("detail_line_id").alias("t_detail_line_id")).distinct(), "t_detail_line_id", "left_semi")
     traces = trace_list(t.trace, pickup_types=pickup_trace_types)
     loc = notes_lookup(t.notes, "TLORDER", {"loc_note_p": "1", "loc_note_d": "2"}, key="_id_key")
     customs = port_of_entry(t.tlorder_customs, t.edi_ace_res_codes, t.edi_aci_res_codes, keep=CUSTOMS)
     customs = customs.withColumnRenamed("detail_line_id", "_c_id")
-    x = x.join(customs, x.detail_line_id == customs._c_id, "left")
-    x = x.join(traces.withColumnRenamed("detail_line_id", "_tr_id"), x.detail_line_id == F.col("_tr_id"), "left")
-    x = x.join(loc, x.detail_line_id.cast("string") == loc._id_key, "left")
-
+    b = tl.join(customs, tl.t_detail_line_id == customs._c_id, "left")
+    b = b.join(traces.withColumnRenamed("detail_line_id", "_tr_id"), b.t_detail_line_id == F.col("_tr_id"), "left")
+    b = b.join(loc, b.t_detail_line_id.cast("string") == loc._id_key, "left")
     # dimensions: equipment class, clients, client directions
     eq = t.eqclass.groupBy(F.col("code").alias("_eq_code")).agg(F.min("codedesc").alias("equip_type"))
-    x = x.join(eq, x.t_requested_equipmen == eq._eq_code, "left")
+    b = b.join(eq, b.t_requested_equipmen == eq._eq_code, "left")
     c1 = t.client.select(F.col("client_id").alias("_c1"), F.col("open_time").alias("origopen"),
                          F.col("close_time").alias("origclose"))
     c2 = t.client.select(F.col("client_id").alias("_c2"), F.col("open_time").alias("destopen"),
                          F.col("close_time").alias("destclose"))
-    x = x.join(c1, x.t_origin == c1._c1, "left").join(c2, x.t_destination == c2._c2, "left")
+    b = b.join(c1, b.t_origin == c1._c1, "left").join(c2, b.t_destination == c2._c2, "left")
     dirs = notes_lookup(t.notes, "CLIENT", {"_dir": "D"}, key="_dir_key")
     do = dirs.select(F.col("_dir_key").alias("_do_key"), F.col("_dir").alias("_dir_o"))
     dd = dirs.select(F.col("_dir_key").alias("_dd_key"), F.col("_dir").alias("_dir_d"))
-    x = x.join(do, x.t_origin.cast("string") == do._do_key, "left").join(dd, x.t_destination.cast("string") == dd._dd_key, "left")
+    b = b.join(do, b.t_origin.cast("string") == do._do_key, "left").join(dd, b.t_destination.cast("string") == dd._dd_key, "left")
+    b = b.drop("_c_id", "_tr_id", "_id_key", "_eq_code", "_c1", "_c2", "_do_key", "_dd_key")
+    if stage_bills:
+        b = stage(b, "contract-bills")
+
+    x = stops.join(b, stops.detail_line_id == b.t_detail_line_id, "inner")
+    legs = t.legsum.select(F.col("ls_leg_id").alias("_s_leg"), "ls_from_zone", "ls_to_zone")
+    x = x.join(legs, x.leg_id == legs._s_leg, "inner")
 
     pd_ = F.col("ld_pd")
 
