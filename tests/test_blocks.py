@@ -167,3 +167,11 @@ def test_numbering_uses_linguistic_order(spark, frames):
     for method in ("range", "window"):
         got = [r.idcust for r in ar.ar_header(t, None, None, method=method).collect()]
         assert got == ["MONTREAL-EST", "MONTREAL-NORD", "MONTREAL, QC", None]
+
+
+def test_schema_qualified_table_names(spark, sf_dir):
+    from lorry.sources.tables import Tables
+
+    t = Tables.at(spark, sf_dir)
+    assert t["TMWIN.LEGSUM"] is t.legsum
+    assert t["ZONE"].columns[:2] == ["zone_id", "short_description"]
