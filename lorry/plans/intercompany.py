@@ -150,3 +150,19 @@ def intercompany_procedure(t: Tables, bill_prefix: str = "C") -> DataFrame:
 def intercompany_safe(t: Tables, bill_prefix: str = "C") -> DataFrame:
     """Safe-join form: de-duplicated zones, left-joined, so legs with unknown zones stay."""
     return intercompany(t, zones="safe", bill_prefix=bill_prefix)
+
+
+def last_month(as_of=None) -> tuple[dt.date, dt.date]:
+    """The report-period parameters of R15 as dates: first and last day of
+    the month before ``as_of`` (default today)."""
+    from lorry.functions.dates import parse_date
+
+    d = dt.date.today() if as_of is None else parse_date(as_of)
+    end = d.replace(day=1) - dt.timedelta(days=1)
+    return end.replace(day=1), end
+
+
+def intercompany_last_month(t: Tables, as_of=None, zones: str = "inner") -> DataFrame:
+    """Version 3 for the previous calendar month, the way the scheduled report
+    fills ``:DATE_BEGIN`` / ``:DATE_END``."""
+    return intercompany(t, zones=zones, date_range=last_month(as_of))

@@ -101,3 +101,24 @@ def test_safe_zone_removes_duplicates(spark):
     zone = spark.createDataFrame([(1, "P1", "False"), (1, "P2", "True"), (2, "P3", "False")],
                                  "zone_id long, province string, is_terminal string")
     assert sorted(tuple(r) for r in safe_zone(zone).collect()) == [(1, "P2", "True"), (2, "P3", "False")]
+
+
+def test_last_month_parameters(spark):
+    from lorry.plans import intercompany as ic, period
+
+    assert ic.last_month("2025-05-15") == (dt.date(2025, 4, 1), dt.date(2025, 4, 30))
+    assert ic.last_month("01/10/2025") == (dt.date(2024, 12, 1), dt.date(2024, 12, 31))
+    r = period.period_bounds(spark, "2025-05-15").collect()[0]
+    assert ic.last_month("2025-05-15") == (r.first_day_last_month, r.last_day_last_month)
+
+
+def test_intercompany_last_month_is_the_month(spark, sf_dir):
+    from lorry.plans import intercompany as ic
+    from lorry.sources.tables import Tables
+
+    t = Tables.at(spark, sf_dir)
+    df = ic.intercompany_last_month(t, "1998-07-15")
+    days = df.select(F.min("actual_delivery"), F.max("actual_delivery")).collect()[0]
+    assert df.count() > 0 and days[0] >= dt.date(1998, 6, 1) and days[1] <= dt.date(1998, 6, 30)
+    full = ic.intercompany_v3(t, ("1998-06-01", "1998-06-30"))
+    assert sorted(map(repr, df.collect())) == sorted(map(repr, full.collect()))
