@@ -19,11 +19,23 @@ import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lorry.session import ensure_checkpoint_dir
 from lorry.sources.fixture_sql import BASE_TABLES, FIXTURES, closure, dependencies
 
 _CACHE: dict[tuple[int, str, bool], "Tables"] = {}
+# bump when the way tables are prepared changes (part of the prepared-table key)
+PREPARE_VERSION = "2"
+
+
+def rtrim_strings(df: DataFrame) -> DataFrame:
+    """Right-trim every text column on load: the source database ignores
+    trailing blanks in comparisons (padded CHAR columns), Spark does not."""
+    cols = [F.rtrim(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
+            for f in df.schema.fields]
+    return df.select(*cols)
 
 
 class Tables:
@@ -54,7 +66,7 @@ class Tables:
 
     def _view(self, name: str) -> DataFrame:
         deps = {d: self[d] for d in dependencies(name)}
-        return self.spark.sql(FIXTURES[name], **deps)
+        return rtrim_strings(self.spark.sql(FIXTURES[name], **deps))
 
     def _build(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
@@ -70,6 +82,7 @@ class Tables:
 
     def _prepared_path(self, name: str) -> str:
         h = hashlib.sha1()
+        h.update(PREPARE_VERSION.encode())
         h.update(self.sf_dir.encode())
         for n in closure([name]):
             h.update(FIXTURES[n].encode())

@@ -175,3 +175,10 @@ def test_schema_qualified_table_names(spark, sf_dir):
     t = Tables.at(spark, sf_dir)
     assert t["TMWIN.LEGSUM"] is t.legsum
     assert t["ZONE"].columns[:2] == ["zone_id", "short_description"]
+
+
+def test_rtrim_on_load(spark):  # T5
+    from lorry.sources.tables import rtrim_strings
+
+    df = spark.createDataFrame([("ab  ", 1, "  x "), (None, 2, "")], "a string, n int, b string")
+    assert [tuple(r) for r in rtrim_strings(df).collect()] == [("ab", 1, "  x"), (None, 2, "")]
