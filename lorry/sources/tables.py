@@ -53,7 +53,7 @@ class Tables:
         return _CACHE[key]
 
     def __getitem__(self, name: str) -> DataFrame:
-        # schema-qualified names (``TMWIN.LEGSUM``) resolve to the same table
+        # schema-qualified names (``OPS.LEGSUM``) resolve to the same table
         name = name.lower().rsplit(".", 1)[-1]
         if name not in self._frames:
             self._frames[name] = self._build(name)

@@ -173,7 +173,7 @@ def test_schema_qualified_table_names(spark, sf_dir):
     from lorry.sources.tables import Tables
 
     t = Tables.at(spark, sf_dir)
-    assert t["TMWIN.LEGSUM"] is t.legsum
+    assert t["OPS.LEGSUM"] is t.legsum
     assert t["ZONE"].columns[:2] == ["zone_id", "short_description"]
 
 
