@@ -26,7 +26,7 @@ def main() -> None:
         f"Executed (AQE final) plans at `{os.path.basename(sf_dir)}` on local[8], 16 shuffle partitions, generated by "
         "`tools_plans.py`. At this size AQE turns most joins into broadcasts after measuring them; on large inputs "
         "the same plans keep shuffle joins. `staged` = intermediates written once to the checkpoint folder "
-        "(numbering tags, contract flags/stops; their upstream plans run as separate jobs and are not counted here).",
+        "(numbering tags; the contract flags, stop rows and per-bill lookups; their upstream plans run as separate jobs and are not counted here).",
         "",
         "| key | exchanges | broadcast joins | sort-merge joins | shuffled-hash joins | windows | staged scans | collated sort |",
         "|---|---|---|---|---|---|---|---|",
