@@ -182,3 +182,13 @@ def test_rtrim_on_load(spark):  # T5
 
     df = spark.createDataFrame([("ab  ", 1, "  x "), (None, 2, "")], "a string, n int, b string")
     assert [tuple(r) for r in rtrim_strings(df).collect()] == [("ab", 1, "  x"), (None, 2, "")]
+
+
+def test_number_items_edge_inputs(spark):
+    empty = spark.createDataFrame([], "id long, b int, k string")
+    assert number_items(empty, ["b"], [F.col("k"), F.col("id")], out="n").count() == 0
+    nulls = spark.createDataFrame([(i, None, f"k{i % 7}") for i in range(200)], "id long, b int, k string")
+    a = number_items(nulls, ["b"], [F.col("k"), F.col("id")], out="n", partitions=4)
+    w = number_items(nulls, ["b"], [F.col("k"), F.col("id")], out="n", method="window")
+    assert sorted(rows(a, "id", "n")) == sorted(rows(w, "id", "n"))
+    assert sorted(r.n for r in a.collect()) == list(range(1, 201))
