@@ -122,3 +122,17 @@ def test_intercompany_last_month_is_the_month(spark, sf_dir):
     assert df.count() > 0 and days[0] >= dt.date(1998, 6, 1) and days[1] <= dt.date(1998, 6, 30)
     full = ic.intercompany_v3(t, ("1998-06-01", "1998-06-30"))
     assert sorted(map(repr, df.collect())) == sorted(map(repr, full.collect()))
+
+
+def test_contract_for_some_legs_equals_all_legs_filtered(spark, sf_dir):
+    """The set-based sheet restricted to some legs = the per-leg procedure's
+    result for those legs (flags still see the whole trip)."""
+    from lorry.plans import contract
+    from lorry.sources.tables import Tables
+
+    t = Tables.at(spark, sf_dir)
+    some = t.legsum.filter(F.col("ls_trip_number") % 7 == 0).select("ls_leg_id")
+    part = contract.carrier_contract(t, leg_ids=some)
+    full = contract.carrier_contract(t).join(some.withColumnRenamed("ls_leg_id", "leg_id"), "leg_id", "left_semi")
+    a, b = sorted(map(repr, part.collect())), sorted(map(repr, full.collect()))
+    assert len(a) > 0 and a == b
