@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorry.llm import q_bpe, q_chat
+from lorry.llm import q_bpe, q_chat, q_fm
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_byte_bpe": q_bpe.op6_byte_bpe,
         "op7_chat_formatting": q_chat.op7_chat_formatting,
+        "op9_quality_fm": q_fm.op9_quality_fm,
     }
 
 
