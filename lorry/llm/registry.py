@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorry.llm import q_bpe, q_chat, q_fm
+from lorry.llm import q_bpe, q_chat, q_fm, q_minhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_minhash_tensored": q_minhash.op5_minhash_tensored,
         "op6_byte_bpe": q_bpe.op6_byte_bpe,
         "op7_chat_formatting": q_chat.op7_chat_formatting,
         "op9_quality_fm": q_fm.op9_quality_fm,
@@ -18,4 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_formatting": q_chat.SQL}
+    return {
+        "op5_minhash_tensored": q_minhash.SQL,
+        "op7_chat_formatting": q_chat.SQL,
+    }
