@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,3 +67,21 @@ def in_filter(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Which ids may be in the filter."""
     at = filter_place(ids, len(words) << 6)
     return (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def split_by(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two parts: rows that cannot be in ``ids``, and the rest (few,
+    if ``ids`` are), so that only the rest has to be moved to meet ``ids``."""
+    words = docs.sparkSession.sparkContext.broadcast(id_filter(ids, column))
+
+    def maybe(s: pd.Series) -> pd.Series:
+        return pd.Series(in_filter(words.value, s.fillna(0).to_numpy()))
+
+    flag = F.pandas_udf(maybe, "boolean")(F.col(column).cast("long"))
+    return docs.where(~flag), docs.where(flag)
+
+
+def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids``; rows with a null id stay."""
+    clear, rest = split_by(docs, ids, column)
+    return clear.union(rest.join(ids.select(column), column, "left_anti").select(*docs.columns))
