@@ -17,6 +17,7 @@ further columns are dropped except those asked for with ``keep``.
 from __future__ import annotations
 
 import base64
+import struct
 import sys
 import types
 from collections.abc import Iterator
@@ -25,7 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CACHE_ENTRIES = 400_000
+#: strings kept per worker: two generations of this many, of at most this length
+CACHE_ENTRIES = 600_000
 CACHE_PIECE = 64
 #: rows of a Python batch are cut so that no batch of ids gets large
 BATCH_BYTES = 8 << 20
@@ -152,26 +154,35 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         # a cut before a space is no boundary inside a run of white space
         self.run = regex.compile(r"\s (?:\s|$)|^ (?:\s|$)").search
-        self.pieces: dict[str, bytes] = {}
-        self.strings: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def keep(self, s: str, ids: bytes) -> bytes:
+        if len(s) <= CACHE_PIECE:
+            if len(self.kept) >= CACHE_ENTRIES:
+                self.older, self.kept = self.kept, {}
+            self.kept[s] = ids
+        return ids
 
     def piece(self, s: str) -> bytes:
-        got = self.pieces.get(s)
+        """Ids of one match of the pattern."""
+        got = self.kept.get(s)
         if got is None:
-            got = np.array(merge_piece(s.encode(), self.ranks, self.queue), "<u4").tobytes()
-            if len(s) <= CACHE_PIECE:
-                if len(self.pieces) >= CACHE_ENTRIES:
-                    self.pieces.clear()
-                self.pieces[s] = got
+            got = self.older.get(s)
+            if got is None:
+                got = struct.pack("<%dI" % len(found := merge_piece(s.encode(), self.ranks, self.queue)), *found)
+            self.keep(s, got)
         return got
 
-    def _string(self, s: str) -> bytes:
-        got = b"".join(map(self.piece, self.find(s)))
-        if len(s) <= CACHE_PIECE:
-            if len(self.strings) >= CACHE_ENTRIES:
-                self.strings.clear()
-            self.strings[s] = got
-        return got
+    def string(self, s: str) -> bytes:
+        """Ids of a string that the pattern never matches over."""
+        got = self.older.get(s)
+        if got is not None:
+            return self.keep(s, got)
+        pieces = self.find(s)
+        if len(pieces) == 1:
+            return self.piece(s)
+        return self.keep(s, b"".join(map(self.piece, pieces)))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
@@ -183,12 +194,12 @@ class Encoder:
         if self.run(text):
             return b"".join(map(self.piece, self.find(text)))
         head, *rest = text.split(" ")
-        get, out = self.strings.get, []
+        get, out = self.kept.get, []
         if head:
-            out.append(get(head) or self._string(head))
+            out.append(get(head) or self.string(head))
         for s in rest:
             s = " " + s
-            out.append(get(s) or self._string(s))
+            out.append(get(s) or self.string(s))
         return b"".join(out)
 
 
@@ -249,25 +260,27 @@ def _digest(ranks: dict[bytes, int], pattern: str) -> str:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = ("doc_id",),
-           text: str = "text") -> DataFrame:
+           text: str = "text", decoded: bool = False) -> DataFrame:
     """``keep`` columns, ``ids`` (binary, little-endian unsigned 32-bit) and
-    ``n_tokens`` of every row.  The vocabulary is broadcast; its size is that
-    of a vocabulary file, whatever the corpus holds."""
+    ``n_tokens`` of every row; with ``decoded`` also the bytes that the ids
+    decode to.  The vocabulary is broadcast; its size is that of a vocabulary
+    file, whatever the corpus holds."""
     sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern, _digest(ranks, pattern)))
+    names = [*keep, "ids", "n_tokens"] + ["decoded"] * decoded
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        key = sent.value[2]
+        encoder = worker_object("encoder:" + key, lambda: Encoder(*sent.value[:2]))
+        back = worker_object("decoder:" + key, lambda: Decoder(sent.value[0])).decode
         for whole in it:
             for b in slices(whole, text):
-                if encoder is None:
-                    encoder = worker_object("encoder:" + sent.value[2], lambda: Encoder(*sent.value[:2]))
                 ids = [encoder.encode(t) if t else b"" for t in b.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(c) for c in keep] + [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],
-                    [*keep, "ids", "n_tokens"])
+                out = [b.column(c) for c in keep] + [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+                yield pa.RecordBatch.from_arrays(out + [pa.array([back(x) for x in ids], pa.binary())] * decoded, names)
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, text).mapInArrow(task, f"{kept}, ids binary, n_tokens bigint")
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(
+        task, f"{kept}, ids binary, n_tokens bigint" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -21,6 +21,5 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, and its ids decoded."""
     ranks, pattern = vocabulary()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, pattern).withColumn("ids_sha256", F.sha2("ids", 256))
-    decoded = bpe.decode(encoded, ranks, keep=("doc_id", "n_tokens", "ids_sha256"))
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode(docs, ranks, pattern, decoded=True).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
