@@ -69,15 +69,16 @@ def in_filter(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
-def split_by(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """``docs`` in two parts: rows that cannot be in ``ids``, and the rest (few,
-    if ``ids`` are), so that only the rest has to be moved to meet ``ids``."""
+def split_by(docs: DataFrame, ids: DataFrame, column: str = "doc_id", own: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two parts: rows whose ``own`` (or ``column``) cannot be in
+    ``ids``, and the rest (few, if ``ids`` are), so that only the rest has to
+    be moved to meet ``ids``."""
     words = docs.sparkSession.sparkContext.broadcast(id_filter(ids, column))
 
     def maybe(s: pd.Series) -> pd.Series:
-        return pd.Series(in_filter(words.value, s.fillna(0).to_numpy()))
+        return pd.Series(in_filter(words.value, s.to_numpy()))
 
-    flag = F.pandas_udf(maybe, "boolean")(F.col(column).cast("long"))
+    flag = F.pandas_udf(maybe, "boolean")(F.coalesce(F.col(own or column).cast("long"), F.lit(0).cast("long")))
     return docs.where(~flag), docs.where(flag)
 
 

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorry.llm import q_bpe, q_chat, q_fm, q_minhash, q_tiling
+from lorry.llm import q_bpe, q_chat, q_fm, q_minhash, q_pii, q_tiling
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_pii_surrogates": q_pii.op2_pii_surrogates,
         "op4_string_tiling": q_tiling.op4_string_tiling,
         "op5_minhash_tensored": q_minhash.op5_minhash_tensored,
         "op6_byte_bpe": q_bpe.op6_byte_bpe,
