@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lorry.llm import q_bpe, q_chat, q_fm, q_imatch, q_minhash, q_pii, q_tiling
+from lorry.llm import q_bpe, q_chat, q_fm, q_imatch, q_minhash, q_order, q_pii, q_tiling
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_imatch": q_imatch.op1_imatch,
         "op2_pii_surrogates": q_pii.op2_pii_surrogates,
+        "op3_training_order": q_order.op3_training_order,
         "op4_string_tiling": q_tiling.op4_string_tiling,
         "op5_minhash_tensored": q_minhash.op5_minhash_tensored,
         "op6_byte_bpe": q_bpe.op6_byte_bpe,
