@@ -17,8 +17,9 @@ Steps, each a Spark job on hash keys:
    links are joined to components;
 4. members of buckets that still hold two components are compared exactly: a
    linked pair must share a shingle among the rarest of both sets (prefix
-   filter, with any common order of shingles), so texts of different
-   components that share such a shingle are confirmed on their full sets.
+   filter, with any common order of shingles), and where they share the first
+   one enough must follow on both sides (positional filter); texts of
+   different components that pass are confirmed on their full sets.
 
 A link needs ``100 * intersection >= percent * union`` on the full sets of
 distinct shingles (64-bit hashes); no bucket is capped.
@@ -114,7 +115,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
-    """``doc_id, n, root, shingle``: the prefix of every set, rarest shingles first."""
+    """``doc_id, n, root, shingle, place``: the prefix of every set, rarest shingles first."""
     spark = sets.sparkSession
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,10 +142,10 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
             keep = place < (n - -(-n * percent // 100) + 1)[doc]
             at = pa.array(doc[keep])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(at), b.column("n").take(at), b.column("root").take(at), pa.array(h[order][keep].view(np.int64))],
-                ["doc_id", "n", "root", "shingle"])
+                [b.column("doc_id").take(at), b.column("n").take(at), b.column("root").take(at), pa.array(h[order][keep].view(np.int64)),
+                 pa.array(place[keep])], ["doc_id", "n", "root", "shingle", "place"])
 
-    return sets.mapInArrow(prefix, "doc_id long, n long, root long, shingle long")
+    return sets.mapInArrow(prefix, "doc_id long, n long, root long, shingle long, place long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, r: int = 3, m: int = 16) -> DataFrame:
@@ -177,11 +178,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, r: int = 3,
     mixed = stage(keyed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key"), "mixed")
     open_ids = stage(keyed.join(mixed, "key", "left_semi").select("doc_id", "root").distinct(), "open")
     prefixes = stage(_rare_first(sets.join(open_ids, "doc_id"), percent), "prefixes")
-    split = stage(prefixes.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("shingle"), "split")
-    rows = stage(prefixes.join(split, "shingle"), "prefixes")
-    x, y = (rows.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "n", "root"))) for s in "ab")
+    # at the first shingle that two sets share, no more than what follows in either can be common
+    needed = f"{100 + percent} * (n - place) >= {percent} * (n + least)"
+    split = stage(prefixes.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least"))
+                  .where("lo < hi").select("shingle", "least"), "split")
+    rows = stage(prefixes.join(split, "shingle").where(needed).drop("least"), "prefixes")
+    x, y = (rows.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "n", "root")), (F.col("n") - F.col("place")).alias(f"rest_{s}"))
+            for s in "ab")
     rest = stage(x.join(y, "shingle").where("doc_id_a < doc_id_b and root_a <> root_b")
-                 .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                 .where((100 + percent) * F.least("rest_a", "rest_b") >= percent * (F.col("n_a") + F.col("n_b")))
                  .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct(), "rest")
     more = stage(confirmed(rest, sets, percent), "confirmed")
     roots = graph.components(links.union(more))
