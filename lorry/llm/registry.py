@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lorry.llm import q_bpe, q_chat, q_fm, q_imatch, q_minhash, q_order, q_pii, q_recount, q_tiling
+from lorry.llm import q_bpe, q_chat, q_fm, q_imatch, q_minhash, q_order, q_pii, q_recount, q_repeats, q_tiling
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_minhash_tensored": q_minhash.op5_minhash_tensored,
         "op6_byte_bpe": q_bpe.op6_byte_bpe,
         "op7_chat_formatting": q_chat.op7_chat_formatting,
+        "op8_run_length_dedup": q_repeats.op8_run_length_dedup,
         "op9_quality_fm": q_fm.op9_quality_fm,
         "op10_edit_counts": q_recount.op10_edit_counts,
         "pipeline": corpus_pipeline.run,
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_minhash_tensored": q_minhash.SQL,
         "op7_chat_formatting": q_chat.SQL,
+        "op8_run_length_dedup": q_repeats.SQL,
     }
