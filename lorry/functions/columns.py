@@ -115,8 +115,3 @@ def blank_to_nbsp(c: str | Column) -> Column:
 def non_blank(c: str | Column) -> Column:
     """``name > ''`` in a blank-padded comparison = has a non-blank character."""
     return F.length(F.rtrim(col(c))) > 0
-
-
-def truncate(c: str | Column, n: int) -> Column:
-    """``CAST(x AS VARCHAR(n))`` truncates; Spark's cast does not."""
-    return F.substring(col(c), 1, n)

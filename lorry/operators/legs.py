@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorry.session import stage
+
 
 def leg_trip(legsum: DataFrame) -> DataFrame:
     """``(ls_leg_id, trip_number)`` with the largest trip number per leg."""
@@ -118,9 +120,13 @@ def carrier_spans(legsum: DataFrame) -> DataFrame:
     )
 
 
-def terminal_flags(legsum: DataFrame, zone: DataFrame) -> DataFrame:
+def terminal_flags(legsum: DataFrame, zone: DataFrame, leg_ids: DataFrame | None = None, spans: DataFrame | None = None) -> DataFrame:
     """Per leg with both zones known, whether its origin / destination is a terminal.
 
+    ``legsum`` holds all legs; ``leg_ids`` (a frame with ``ls_leg_id``) picks
+    the legs that are returned.  Their trips are always looked at whole.
+    ``spans`` is :func:`carrier_spans` of all legs, if it is there already.
+
     Origin is a terminal when the leg runs empty ('E'), or the origin zone is
     a terminal, or the leg is the first of its carrier in the trip while a
     leg of another carrier comes earlier; the destination mirrors this with
@@ -134,7 +140,10 @@ def terminal_flags(legsum: DataFrame, zone: DataFrame) -> DataFrame:
         "ls_leg_id", "ls_trip_number", "ls_leg_seq", "ls_interliner", "ls_mt_loaded", "ls_from_zone", "ls_to_zone",
         "ls_planned_departure", "ls_expected_date", "ls_num_pu", "ls_num_del",
     )
-    spans = carrier_spans(legsum)
+    if leg_ids is not None:
+        l = l.join(leg_ids.select("ls_leg_id").distinct(), "ls_leg_id", "left_semi")
+    if spans is None:
+        spans = carrier_spans(legsum)
     l = l.join(spans, ["ls_trip_number", "ls_interliner"], "left")
     hand_o = (F.col("ls_leg_seq") == F.col("carrier_first_seq")) & (F.col("other_first_seq") < F.col("carrier_first_seq"))
     hand_d = (F.col("ls_leg_seq") == F.col("carrier_last_seq")) & (F.col("other_last_seq") > F.col("carrier_last_seq"))
@@ -158,8 +167,6 @@ def terminal_flags(legsum: DataFrame, zone: DataFrame) -> DataFrame:
     return (
         l.withColumn("term_orig", term_orig)
         .withColumn("term_dest", term_dest)
-        .withColumn("hand_over_orig", F.coalesce(hand_o, F.lit(False)))
-        .withColumn("hand_over_dest", F.coalesce(hand_d, F.lit(False)))
         .drop("_oz", "_dz", "_oz_term", "_dz_term", "other_first_seq", "other_last_seq")
     )
 
@@ -181,13 +188,23 @@ def stop_number(legdtl: DataFrame, tlorder: DataFrame, side: str) -> DataFrame:
         .groupBy("ld_leg_id", "_name", "_zone")
         .agg(F.min("ld_pd_order").alias("stop_no"))
     )
+    # read back from a written table, the minimum gets an exchange of its own in
+    # the join, so a hot leg's rows can be split (they could not be if the join
+    # reused the aggregate's partitioning)
+    first = stage(first, f"stop-numbers-{side}")
     return s.join(first, ["ld_leg_id", "_name", "_zone"], "left").drop("_name", "_zone", "ld_fb_id")
 
 
 def trip_endpoints(legsum: DataFrame) -> DataFrame:
     """Per trip, the first leg's origin and the last leg's destination
-    (one aggregate for all trips instead of a top-1 query per trip)."""
+    (one aggregate for all trips instead of a top-1 query per trip).
+
+    A NULL sequence ranks above every number, as in the source's database:
+    it is never first while the trip has a numbered leg, and always last.
+    Legs of equal sequence go by their id.
+    """
+    place = F.struct(F.col("ls_leg_seq").isNull().alias("unknown"), "ls_leg_seq", "ls_leg_id")
     return legsum.groupBy(F.col("ls_trip_number").alias("trip_number")).agg(
-        F.min_by("lego_zone_desc", "ls_leg_seq").alias("trip_from"),
-        F.max_by("legd_zone_desc", "ls_leg_seq").alias("trip_to"),
+        F.min_by("lego_zone_desc", place).alias("trip_from"),
+        F.max_by("legd_zone_desc", place).alias("trip_to"),
     )

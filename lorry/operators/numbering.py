@@ -55,7 +55,7 @@ def number_items(
     order_cols = [_as_col(c) for c in order]
     if method == "window":
         w = Window.partitionBy(*batch).orderBy(*order_cols)
-        return df.withColumn(out, F.row_number().over(w))
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
     if method != "range":
         raise ValueError(f"unknown numbering method {method!r}")
 
@@ -86,7 +86,7 @@ def number_items(
     for i, b in enumerate(batch):
         cond = cond & F.col(b).eqNullSafe(F.col(f"_sp_{i}"))
     numbered = tagged.join(spans, cond, "inner").withColumn(
-        out, (F.col("_nb_offset") + F.col("_nb_pos") - F.col("_nb_first") + 1).cast("int")
+        out, (F.col("_nb_offset") + F.col("_nb_pos") - F.col("_nb_first") + 1).cast("long")
     )
     drop = ["_nb_part", "_nb_pos", "_sp_part", "_nb_offset", "_nb_first"] + [f"_sp_{i}" for i in range(len(batch))]
     return numbered.drop(*drop)

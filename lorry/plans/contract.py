@@ -72,15 +72,13 @@ def _stop(df: DataFrame, **cols) -> DataFrame:
     return df.select(*out)
 
 
-def stop_rows(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PICKUP_TRACE_TYPES) -> DataFrame:
+def stop_rows(t: Tables, leg_ids: DataFrame | None = None) -> DataFrame:
     """The temp table of the procedure, for every selected leg."""
-    legs = t.legsum
-    if leg_ids is not None:
-        legs = legs.join(leg_ids.select("ls_leg_id").distinct(), "ls_leg_id", "left_semi")
-    # one row per leg, read by five producers: written once
-    flags = stage(terminal_flags(legs, t.zone), "contract-flags")
-    # carrier spans use the whole trip, not just the selected legs
-    spans = carrier_spans(t.legsum).select(
+    # carrier spans and flags look at the whole trip, also for a part of its legs
+    all_spans = stage(carrier_spans(t.legsum), "carrier-spans")
+    # one row per selected leg, read by five producers: written once
+    flags = stage(terminal_flags(t.legsum, t.zone, leg_ids, all_spans), "contract-flags")
+    spans = all_spans.select(
         F.col("ls_trip_number").alias("_sp_trip"), F.col("ls_interliner").alias("_sp_carrier"),
         F.col("carrier_first_seq").alias("_sp_first"), F.col("carrier_last_seq").alias("_sp_last"),
     )
@@ -142,13 +140,11 @@ def stop_rows(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PI
     return tp.unionByName(td).unionByName(sp).unionByName(cd).unionByName(em)
 
 
-
-
 def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_types=PICKUP_TRACE_TYPES,
                      stage_stops: bool = True, stage_bills: bool = True) -> DataFrame:
     """R14 for the legs in ``leg_ids`` (a frame with ``ls_leg_id``), or all legs."""
     # the procedure's temp table, read by all three sections: written once
-    stops = stop_rows(t, leg_ids, pickup_trace_types)
+    stops = stop_rows(t, leg_ids)
     if stage_stops:
         stops = stage(stops, "contract-stops")
     bill_cols = [
@@ -185,9 +181,10 @@ def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_t
     if stage_bills:
         b = stage(b, "contract-bills")
 
-    x = stops.join(b, stops.detail_line_id == b.t_detail_line_id, "inner")
+    # the narrow leg columns first, the wide bill columns last
     legs = t.legsum.select(F.col("ls_leg_id").alias("_s_leg"), "ls_from_zone", "ls_to_zone")
-    x = x.join(legs, x.leg_id == legs._s_leg, "inner")
+    x = stops.join(legs, stops.leg_id == legs._s_leg, "inner")
+    x = x.join(b, x.detail_line_id == b.t_detail_line_id, "inner")
 
     pd_ = F.col("ld_pd")
 

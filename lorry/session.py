@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,21 +33,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediates.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system); only when nothing is configured (local tests) do we set a
-    scratch folder ourselves.
+    It is the folder that ``spark.checkpoint.dir`` names (on a cluster a shared
+    file system).  Only in local mode, where driver and executors are one
+    process, a scratch folder is made if nothing is configured; elsewhere that
+    is an error, as every executor would write to a disk of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: on {master} intermediates need a folder that all executors share")
     path = tempfile.mkdtemp(prefix="lorry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+#: folders that :func:`stage` has written, by session
+_STAGED: weakref.WeakKeyDictionary[SparkSession, list[str]] = weakref.WeakKeyDictionary()
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder and
     read it back.
@@ -55,42 +64,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     carrier contract's stop table, the numbering tags): Spark would
     otherwise recompute it per branch, and a branch that recomputes
     nondeterministic tags could see different values.  The write is a
-    lineage cut that survives executor loss.
+    lineage cut that survives executor loss.  :func:`release` removes what a
+    session has written.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/lorry-stage/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _STAGED.setdefault(spark, []).append(path)
     return spark.read.parquet(path)
 
 
-def cluster_settings(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings sized for the data volume (e.g. 100 TB on ~1000 executors).
-
-    Shuffle partitions are sized so each reduce task handles about
-    ``target_partition_bytes`` (spill-free on a 4-core / 16 GB executor);
-    file splits match; AQE coalesces small partitions, splits skewed ones
-    and converts joins to broadcasts only after measuring their size.
-    """
-    partitions = max(200, input_bytes // target_partition_bytes)
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.sql.shuffle.partitions": str(int(partitions)),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.exchange.reuse": "true",
-    }
-
-
-def apply_cluster_settings(spark: SparkSession, input_bytes: int, **kw) -> None:
-    """Apply :func:`cluster_settings` to a running session (runtime SQL confs
-    only; settings already made explicitly by the job are left alone)."""
-    for k, v in cluster_settings(input_bytes, **kw).items():
-        if spark.conf.get(k, None) in (None, ""):
-            spark.conf.set(k, v)
+def release(spark: SparkSession) -> int:
+    """Delete the intermediates that this session has staged so far; their
+    number.  Call it when the results that read them are written: a DataFrame
+    that still reads one fails afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _STAGED.pop(spark, [])
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)

@@ -9,25 +9,30 @@ Writing: rows are range-partitioned and sorted by (pay type, driver, date);
 every partition becomes one gzip file that starts with its own blank row,
 header and section title, so each file can be read on its own.  Formatting
 is done with built-in functions; only the insertion of the layout rows runs
-in a per-partition pandas step.
-
-Reading: each file is read whole (``wholetext``), split into numbered lines
-and parsed with ``from_csv``; a section title is carried down to the rows
-below it with a window over the file's line numbers.  Reading whole files
-keeps line order exact even for uncompressed files that Spark would split.
+in a per-partition pandas step.  What the layout has no room for is written
+as a mark: ``(none)`` as the title of rows without a pay type (a pay type of
+that form gets a further pair of brackets), ``n/a`` for a missing date or
+amount, so a row of figures never looks like a title.
+
+Reading: Spark's CSV reader (quoted line breaks allowed, so a file is one
+split) gives the rows of a file in order; a per-partition step carries the
+section title down to the rows below it, holding one title at a time.  No row
+is dropped but blank, header and title rows; a date or an amount that cannot
+be read is NULL.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The per-partition layout step runs in Python workers; ship it by value so
+# The per-partition layout steps run in Python workers; ship them by value so
 # executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,15 +42,30 @@ FIELDS = [f"c{i}" for i in range(8)]
 LINE_SCHEMA = ", ".join(f"{c} string" for c in FIELDS)
 MONEY = "decimal(18,2)"
 MEASURES = ("subsistance", "hours", "overtime", "other", "net")
+# marks of this library for what is missing
+NO_TYPE, MISSING = "(none)", "n/a"
 
 
 def _money(c: str) -> F.Column:
-    return F.format_number(F.col(c), 2)
+    return F.coalesce(F.format_number(F.col(c), 2), F.lit(MISSING))
 
 
 def _dollars(c: str) -> F.Column:
     v = F.col(c)
-    return F.when(v < 0, F.concat(F.lit("-$"), F.format_number(-v, 2))).otherwise(F.concat(F.lit("$"), F.format_number(v, 2)))
+    text = F.when(v < 0, F.concat(F.lit("-$"), F.format_number(-v, 2))).otherwise(F.concat(F.lit("$"), F.format_number(v, 2)))
+    return F.coalesce(text, F.lit(MISSING))
+
+
+def _title(pay_type: str | None) -> str:
+    if pay_type is None:
+        return NO_TYPE
+    return f"({pay_type})" if re.fullmatch(r"\(+none\)+", pay_type) else pay_type
+
+
+def _pay_type(title: str) -> str | None:
+    if title == NO_TYPE:
+        return None
+    return title[1:-1] if re.fullmatch(r"\(\(+none\)+\)", title) else title
 
 
 def _layout(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -58,12 +78,13 @@ def _layout(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         rows = []
         if not started:
-            rows += [blank, dict(zip(FIELDS, HEADER))]
+            rows += [blank, dict(zip(FIELDS, HEADER, strict=True))]
             started = True
         for rec in b.to_dict("records"):
-            if rec["pay_type"] != current:
-                current = rec["pay_type"]
-                rows.append({**blank, "c0": current})
+            title = _title(rec["pay_type"])
+            if title != current:
+                current = title
+                rows.append({**blank, "c0": title})
             rows.append({c: rec[c] for c in FIELDS})
         yield pd.DataFrame(rows, columns=FIELDS)
     if started:
@@ -81,38 +102,51 @@ def export_pay_report(summary: DataFrame, path: str, partitions: int | None = No
         .select(
             "pay_type",
             F.col("driver").alias("c0"),
-            F.date_format("pay_date", "MMM d, yyyy").alias("c1"),
+            F.coalesce(F.date_format("pay_date", "MMM d, yyyy"), F.lit(MISSING)).alias("c1"),
             _money("subsistance").alias("c2"), _money("hours").alias("c3"), _money("overtime").alias("c4"),
             _money("other").alias("c5"), _dollars("net").alias("c6"), F.lit(None).cast("string").alias("c7"),
         )
     )
     out = rows.mapInPandas(_layout, LINE_SCHEMA)
-    (out.write.mode("errorifexists").option("header", False).option("emptyValue", "")
+    # a file is never cut in two: its second half would have no title
+    (out.write.mode("errorifexists").option("header", False).option("emptyValue", "").option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .option("compression", "gzip").csv(path))
+        .option("maxRecordsPerFile", 0).option("compression", "gzip").csv(path))
+
+
+def _sections(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of figures with the title above them; titles end with their file."""
+    file, title = None, None
+    header = tuple((h or "").strip() for h in HEADER[:7])
+    for b in batches:
+        rows = []
+        for rec in b.to_dict("records"):
+            if rec["file"] != file:
+                file, title = rec["file"], None
+            cells = [(rec[c] or "").strip() for c in FIELDS]
+            if not any(cells) or tuple(cells[:7]) == header:
+                continue
+            if cells[0] and not any(cells[1:]):
+                title = cells[0]
+                continue
+            rows.append([None if title is None else _pay_type(title), *(x or None for x in cells)])
+        yield pd.DataFrame(rows, columns=["pay_type", *FIELDS], dtype=object)
 
 
 def read_pay_export(spark: SparkSession, path: str) -> DataFrame:
     """The rows of pay-report files with their section as ``pay_type``.
 
     Blank, header and title rows are dropped; money and dates are parsed
-    (unparseable values become NULL rather than failing the job).
+    (values that cannot be parsed become NULL, their rows stay).
     """
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    lines = files.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    lines = lines.select("file", "line_no", F.regexp_replace("line", "\r$", "").alias("line"))
-    parsed = lines.select("file", "line_no", F.from_csv("line", LINE_SCHEMA).alias("r")).select("file", "line_no", "r.*")
-    parsed = parsed.select("file", "line_no", *[F.nullif(F.trim(F.col(c)), F.lit("")).alias(c) for c in FIELDS])
-    is_title = F.col("c0").isNotNull() & F.coalesce(*[F.col(c) for c in FIELDS[1:]]).isNull()
-    pay_date = F.try_to_date(F.col("c1"), "MMM d, yyyy")
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = parsed.withColumn("pay_type", F.last(F.when(is_title, F.col("c0")), ignorenulls=True).over(w))
-    data = tagged.filter(F.col("c1").isNotNull() & pay_date.isNotNull())
+    lines = (spark.read.schema(LINE_SCHEMA).option("header", False).option("multiLine", True).option("escape", '"')
+             .csv(path).select(F.col("_metadata.file_path").alias("file"), *FIELDS))
+    data = lines.mapInPandas(_sections, f"pay_type string, {LINE_SCHEMA}")
 
     def money(c: str) -> F.Column:
         return F.regexp_replace(F.col(c), "[$,]", "").try_cast(MONEY)
 
     return data.select(
-        "pay_type", F.col("c0").alias("driver"), pay_date.alias("pay_date"),
-        *[money(c).alias(m) for c, m in zip(FIELDS[2:7], MEASURES)],
+        "pay_type", F.col("c0").alias("driver"), F.try_to_date(F.col("c1"), "MMM d, yyyy").alias("pay_date"),
+        *[money(c).alias(m) for c, m in zip(FIELDS[2:7], MEASURES, strict=True)],
     )

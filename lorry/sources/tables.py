@@ -1,13 +1,14 @@
 """Table accessor: one DataFrame per input table, built once per session.
 
 Reports take a :class:`Tables` and read the freight tables by name
-(``t.tlorder``, ``t["legsum"]``).  Here the freight tables are the fixture
-views over the driver's parquet files (see :mod:`fixture_sql`); on a real
-cluster the same accessor would point at the production tables.
+(``t.tlorder``, ``t["legsum"]``, ``t["ops.legsum"]``).  :class:`SourceTables`
+reads real tables: paths, frames, or a catalog.  :class:`Tables` itself reads
+the fixture views over the driver's parquet files (see :mod:`fixture_sql`).
 
 The fixture views are *prepared once*: each is written as a parquet table in
-the shared folder named by ``spark.checkpoint.dir`` (keyed by the data
-directory and the view's SQL text) and then read back like any stored table,
+the shared folder named by ``spark.checkpoint.dir`` (keyed by the view's SQL
+text and the size and time of every input file, asked of the file system that
+holds it) and then read back like any stored table,
 so reports scan columnar files with pushed-down filters instead of
 re-deriving their inputs from the raw tables on every run.  Pass
 ``prepared=False`` to read the views as live queries instead.
@@ -16,7 +17,8 @@ re-deriving their inputs from the raw tables on every run.  Pass
 from __future__ import annotations
 
 import hashlib
-import os
+import weakref
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +27,10 @@ from pyspark.sql.types import StringType
 from lorry.session import ensure_checkpoint_dir
 from lorry.sources.fixture_sql import BASE_TABLES, FIXTURES, closure, dependencies
 
-_CACHE: dict[tuple[int, str, bool], "Tables"] = {}
+#: accessors by session, which they end with
+_CACHE: weakref.WeakKeyDictionary[SparkSession, dict[tuple, Tables]] = weakref.WeakKeyDictionary()
 # bump when the way tables are prepared changes (part of the prepared-table key)
-PREPARE_VERSION = "2"
+PREPARE_VERSION = "3"
 
 
 def rtrim_strings(df: DataFrame) -> DataFrame:
@@ -39,21 +42,24 @@ def rtrim_strings(df: DataFrame) -> DataFrame:
 
 
 class Tables:
+    """The fixture tables of a data directory."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, prepared: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.prepared = prepared
         self._frames: dict[str, DataFrame] = {}
+        self._signature = file_signature(spark, [f"{self.sf_dir}/{base}.parquet" for base in BASE_TABLES])
 
     @classmethod
-    def at(cls, spark: SparkSession, sf_dir: str, prepared: bool = True) -> "Tables":
-        key = (id(spark), sf_dir.rstrip("/"), prepared)
-        if key not in _CACHE:
-            _CACHE[key] = cls(spark, sf_dir, prepared)
-        return _CACHE[key]
+    def at(cls, spark: SparkSession, sf_dir: str, prepared: bool = True) -> Tables:
+        """The session's accessor for a directory; files that have changed since get a new one."""
+        own = _CACHE.setdefault(spark, {})
+        new = cls(spark, sf_dir, prepared)
+        return own.setdefault((new.sf_dir, prepared, new._signature), new)
 
     def __getitem__(self, name: str) -> DataFrame:
-        # schema-qualified names (``OPS.LEGSUM``) resolve to the same table
+        # the fixtures are one schema: a qualifier (``OPS.LEGSUM``) is not needed
         name = name.lower().rsplit(".", 1)[-1]
         if name not in self._frames:
             self._frames[name] = self._build(name)
@@ -86,11 +92,7 @@ class Tables:
         h.update(self.sf_dir.encode())
         for n in closure([name]):
             h.update(FIXTURES[n].encode())
-        for base in BASE_TABLES:
-            p = f"{self.sf_dir}/{base}.parquet"
-            if os.path.exists(p):
-                st = os.stat(p)
-                h.update(f"{base}:{st.st_size}:{int(st.st_mtime)}".encode())
+        h.update(self._signature.encode())
         root = ensure_checkpoint_dir(self.spark).rstrip("/")
         return f"{root}/lorry-tables/{h.hexdigest()[:16]}/{name}"
 
@@ -99,3 +101,69 @@ class Tables:
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
         return p.getFileSystem(conf).exists(p)
+
+
+def file_signature(spark: SparkSession, paths: list[str]) -> str:
+    """Names, sizes and times of the files under ``paths``, as their own file
+    systems tell them (any Hadoop file system)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha1()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            continue
+        files = fs.listFiles(p, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        h.update("\n".join([path, *sorted(found)]).encode())
+    return h.hexdigest()
+
+
+class SourceTables(Tables):
+    """Real tables by name.
+
+    ``sources`` maps names to DataFrames, paths (parquet) or catalog table
+    names; a name may carry a schema (``"a.zone"``), and two schemas may hold
+    tables of one name.  With ``catalog=True`` a name that is not mapped is
+    looked up in the session's catalog.  An unqualified name means the table
+    of ``schema``, or else the only table of that name; an ambiguous or
+    unknown name is a ``KeyError``.  Text columns are right-trimmed.
+    """
+
+    def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame | str] | None = None, schema: str | None = None,
+                 catalog: bool = False):
+        self.spark = spark
+        self.schema = schema.lower() if schema else None
+        self.catalog = catalog
+        self._sources = {k.lower(): v for k, v in (sources or {}).items()}
+        self._frames = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        name = name.lower()
+        if name not in self._frames:
+            self._frames[name] = rtrim_strings(self._find(name))
+        return self._frames[name]
+
+    def _find(self, name: str) -> DataFrame:
+        wanted = [name] if "." in name or not self.schema else [f"{self.schema}.{name}", name]
+        for key in wanted:
+            if key in self._sources:
+                return self._open(self._sources[key])
+        if self.catalog:
+            for key in wanted:
+                if self.spark.catalog.tableExists(key):
+                    return self.spark.table(key)
+        alike = [k for k in self._sources if "." not in name and k.rsplit(".", 1)[-1] == name]
+        if len(alike) == 1:
+            return self._open(self._sources[alike[0]])
+        raise KeyError(f"table {name!r} is in several schemas: {', '.join(sorted(alike))}" if alike else f"unknown table {name!r}")
+
+    def _open(self, source: DataFrame | str) -> DataFrame:
+        if isinstance(source, DataFrame):
+            return source
+        if "/" in source:
+            return self.spark.read.parquet(source)
+        return self.spark.table(source)
