@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorry.functions.columns import account_segment
+
 # Trace types listed on pickup and delivery stop lines; the
 # "pick up modification" variant lists 'Y' instead of '1' for pickups.
 PICKUP_TRACE_TYPES = ("B", "P", "K", "S", "V", "1")
@@ -144,3 +146,10 @@ def milestones(odrstat: DataFrame, key: str = "order_id") -> DataFrame:
 def feet(tldtl: DataFrame) -> DataFrame:
     """Total length of the non-picked goods lines per order."""
     return tldtl.filter(F.col("pick_id") == 0).groupBy("order_id").agg(F.sum("length_1").alias("feet"))
+
+
+def account_quality(billgl: DataFrame) -> DataFrame:
+    """How many ledger lines, and how many whose account has no middle
+    segment (no second hyphen), for which the segment columns are NULL."""
+    return billgl.agg(F.count("*").alias("lines"),
+                      F.count_if(account_segment("acct_code").isNull()).alias("without_segment"))

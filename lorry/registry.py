@@ -39,6 +39,13 @@ for _co in ("control", "trucking"):
              O.ar_detail_sql(_co, "latest", segment=True, absolute=True))
 
 
+# one audit batch, the form in which the source asks for it
+AUDIT = 199503
+register("ar_header_audit", lambda t: ar.ar_header_all(t, AUDIT), O.ar_header_sql(None, AUDIT))
+register("ar_detail_audit", lambda t: ar.ar_detail_all(t, AUDIT), O.ar_detail_sql(None, AUDIT))
+register("account_quality", lambda t: LK.account_quality(t.billgl), O.ACCOUNT_QUALITY)
+
+
 # --- accounts payable (R7, R8a-g) ---------------------------------------------
 AS_OF = O.AS_OF
 register("ap_register_header", lambda t: ap.ap_register_header(t), O.ap_register_sql())
@@ -58,6 +65,9 @@ register("intercompany_v1", lambda t: ic.intercompany_v1(t, WHOLE_PERIOD),
          O.intercompany_sql("none", WHOLE_PERIOD, trip_columns=False, skids=False))
 register("intercompany_v2", lambda t: ic.intercompany_v2(t, WHOLE_PERIOD), O.intercompany_sql("none", WHOLE_PERIOD))
 register("intercompany_v3", lambda t: ic.intercompany_v3(t, WHOLE_PERIOD), O.intercompany_sql("inner", WHOLE_PERIOD))
+# one delivery month; bills are delivered on both its first and its last day
+MONTH = ("1996-02-01", "1996-02-29")
+register("intercompany_month", lambda t: ic.intercompany_v3(t, MONTH), O.intercompany_sql("inner", MONTH))
 register("intercompany_procedure", lambda t: ic.intercompany_procedure(t), O.intercompany_sql("inner", bill_prefix="C"))
 register("intercompany_safe", lambda t: ic.intercompany_safe(t), O.intercompany_sql("safe", bill_prefix="C"))
 
@@ -93,10 +103,13 @@ register("notes_lookup", lambda t: LK.notes_lookup(t.notes, "TLORDER", {"note_p"
 
 
 # --- driver pay (R12, R12b, R16, R18) and billing cut-off (R17) -------------------
+STATEMENT_DATE = "2024-01-05"
 for _neg in ("carry", "show"):
     register(f"driver_pay_{_neg}", lambda t, n=_neg: pay.driver_pay(t, None, n), O.driver_pay_sql(_neg))
     register(f"driver_pay_summary_{_neg}", lambda t, n=_neg: pay.driver_pay_summary(t, None, n),
              O.driver_pay_summary_sql(_neg))
+    # one statement date
+    register(f"driver_pay_day_{_neg}", lambda t, n=_neg: pay.driver_pay(t, STATEMENT_DATE, n), O.driver_pay_sql(_neg, STATEMENT_DATE))
 register("pay_report_roundtrip", lambda t: pay.pay_report_roundtrip(t), O.driver_pay_summary_sql("carry"))
 register("driver_pay_dates", lambda t: pay.driver_pay_dates(t, None, "12/31/2023"), O.driver_pay_dates_sql("2023-12-31"))
 register("pay_reallocation", lambda t: pay.pay_reallocation(t, "2024-12-31"), O.pay_reallocation_sql("2024-12-31"))
@@ -114,6 +127,10 @@ register("carrier_contract", lambda t: contract.carrier_contract(t), O.carrier_c
 # the "pick up modification" source: pickup traces list type 'Y' instead of '1'
 register("carrier_contract_pickup_y", lambda t: contract.carrier_contract(t, pickup_trace_types=LK.PICKUP_TRACE_TYPES_Y),
          O.carrier_contract_sql(pickup=LK.PICKUP_TRACE_TYPES_Y))
+# the legs that leave in one month: the source asks leg by leg, and a trip's legs leave on different days
+LEAVING = "ls_planned_departure >= DATE '1996-03-01' AND ls_planned_departure < DATE '1996-04-01'"
+register("carrier_contract_legs", lambda t: contract.carrier_contract(t, t.legsum.where(LEAVING).select("ls_leg_id")),
+         O.carrier_contract_sql(legs=LEAVING))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
