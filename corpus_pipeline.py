@@ -20,8 +20,9 @@ from lorry.session import stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    scored = fm.score(docs, fm.train(docs, labels), keep=tuple(docs.columns))
-    return scored.where(F.col("score") >= ACCEPT).select(*docs.columns)
+    free = "_" * (1 + max(map(len, docs.columns)))  # no name of the input
+    scored = fm.score(docs, fm.train(docs, labels), keep=tuple(docs.columns), out=free)
+    return scored.where(F.col(free) >= ACCEPT).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

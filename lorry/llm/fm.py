@@ -165,8 +165,11 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 15, rank: int = 8, max
     return fit(feature, value, np.cumsum(n) - n, np.asarray(got.column("label")), bits, rank)
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``keep`` columns and ``score`` (0 to 1) of every row, in one pass."""
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text", out: str = "score") -> DataFrame:
+    """``keep`` columns and the score (0 to 1) of every row in the column
+    ``out`` (none of ``keep``), in one pass."""
+    if out in keep:
+        raise ValueError(f"{out!r} is a column of the input; name another with out=")
     sent = docs.sparkSession.sparkContext.broadcast(tuple(model))  # 2**bits + a few rows of rank + 1 floats
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +181,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
                 z = raw_scores(m, f, x, np.cumsum(n) - n)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(c).slice(lo, hi - lo) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))],
-                    [*keep, "score"])
+                    [*keep, out])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(task, f"{kept}, score double")
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(task, f"{kept}, `{out}` double")

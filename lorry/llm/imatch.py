@@ -67,7 +67,7 @@ def lexicon(docs: DataFrame, low: float = 1e-3, high: float = 0.2) -> np.ndarray
             for lo, hi, buf, offs in tv.batches(b.column(0)):
                 w = tokens(buf, offs)
                 parts.append(np.unique(tv.distinct(w.hash, w.doc)[0], return_counts=True))
-                if len(parts) >= 16:
+                if len(parts) >= 64:
                     parts = [_merge(parts)]
         if parts:
             term, n = _merge(parts)
@@ -84,7 +84,7 @@ def lexicon(docs: DataFrame, low: float = 1e-3, high: float = 0.2) -> np.ndarray
                 w = tokens(buf, offs)
                 h, _ = tv.distinct(w.hash, w.doc)
                 parts.append(np.unique(h[in_filter(sent.value, h.view(np.int64))], return_counts=True))
-                if len(parts) >= 16:
+                if len(parts) >= 64:
                     parts = [_merge(parts)]
         if parts:
             term, n = _merge(parts)

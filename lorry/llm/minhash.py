@@ -26,8 +26,7 @@ distinct shingles (64-bit hashes); no bucket is capped.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text
 with fewer words than ``k`` is one shingle; a null or empty text has none and
-is linked with nothing; rows with a null id are left as they are (no
-component); rows that repeat an id are one document, linked with whatever any
+is linked with nothing; a row with a null id has no component; rows that repeat an id are one document, linked with whatever any
 of its texts is linked with; an empty table gives an empty result.
 """
 
@@ -83,7 +82,7 @@ def signatures(docs: DataFrame, k: int, r: int, m: int) -> DataFrame:
                      tv.lists(groups.ravel().view(np.int64), np.repeat(some, 2 * m), size, pa.int64())],
                     ["doc_id", "n", "d1", "d2", "groups"])
 
-    return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, n long, d1 long, d2 long, groups array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, "doc_id long, n long, d1 long, d2 long, groups array<long>")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -189,8 +188,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, r: int = 3,
                  .where((100 + percent) * F.least("rest_a", "rest_b") >= percent * (F.col("n_a") + F.col("n_b")))
                  .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct(), "rest")
     more = stage(confirmed(rest, sets, percent), "confirmed")
-    roots = graph.components(links.union(more))
+    # an id that comes with several texts is one document: its texts' classes belong together
+    several = (sized.groupBy("doc_id").agg(F.min(F.struct("d1", "d2", "n")).alias("lo"), F.max(F.struct("d1", "d2", "n")).alias("hi"))
+               .where("lo <> hi").select("doc_id"))
+    same = (sized.select("doc_id", "d1", "d2", "n").join(several, "doc_id", "left_semi").join(classes, ["d1", "d2", "n"])
+            .select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b"))
+    roots = graph.components(links.union(more).union(same))
     rep_roots = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", "n", F.coalesce("root", "rep").alias("own"))
-    # an id that comes with several texts takes the least of their components
     return (signed.join(stage(rep_roots, "roots"), ["d1", "d2", "n"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("own", "doc_id").alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("own", "doc_id")).alias("component_id")))

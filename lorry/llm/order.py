@@ -161,7 +161,7 @@ def materialise(docs: DataFrame, ids: Column, path: str, width: int, end: int, p
         if slot is not None:
             yield pa.RecordBatch.from_arrays([pa.array([done()], pa.binary())], ["record"])
 
-    pieces = docs.select(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), ids).mapInArrow(
+    pieces = docs.select(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), ids.alias("ids")).mapInArrow(
         cut, "shard int, slot long, at int, piece binary")
     shards = max(1, -(-n // per_shard))
     (pieces.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot", "at").select("slot", "piece")

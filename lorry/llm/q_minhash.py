@@ -11,7 +11,7 @@ from lorry.llm import minhash
 def op5_minhash_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the component of near-duplicates they belong to."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return minhash.near_duplicates(docs).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return minhash.near_duplicates(docs).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 SQL = r"""
@@ -31,6 +31,6 @@ e as materialized (select a, b from l union select b, a from l),
 r(id, root) as (select rep, rep from c union select e.b, r.root from r join e on e.a = r.id),
 m as (select id, min(root) as root from r group by id)
 select s.doc_id, cast(len(s.sh) as bigint) as n_shingles, coalesce(m.root, s.doc_id) as component_id,
-       s.doc_id = coalesce(m.root, s.doc_id) as kept
+       s.doc_id is not distinct from coalesce(m.root, s.doc_id) as kept
 from s left join c on len(s.sh) > 0 and s.sh = c.sh left join m on m.id = c.rep
 """

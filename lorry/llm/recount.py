@@ -118,7 +118,8 @@ class Tree:
 
 
 def edit(text: str, tree: Tree, counter: Counter, start: int, stop: int, new: str) -> tuple[str, Tree, int]:
-    """The edited text, its tree, and how many pre-tokens were encoded for it."""
+    """The edited text, its tree (the one passed is used up), and how many
+    pre-tokens were encoded for it."""
     start = min(max(start, 0), len(text))
     stop = min(max(stop, start), len(text))
     after = text[:start] + new + text[stop:]

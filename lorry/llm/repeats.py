@@ -47,7 +47,7 @@ SIDE = DEPTH - GRAM  # bytes of context on either side of an anchor
 #: one anchor in so many cuts a segment, if the last candidate is at least GAP bytes away
 CUT, GAP = 32, 64
 #: contexts of one anchor in one block, and contexts that make up a block
-MOST, BLOCK = 4000, 12000
+MOST, BLOCK = 4000, 6000
 
 
 def _slide(x: np.ndarray, w: int, f) -> np.ndarray:

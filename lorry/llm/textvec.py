@@ -1,7 +1,8 @@
 """Vectorised text helpers for Arrow string columns (numpy inside tasks).
 
 Words are the maximal runs of bytes other than space and 0x09-0x0D, with A-Z
-lower-cased.  All work is done on the raw UTF-8 bytes, a few MB at a time, so
+lower-cased.  All work is done on the raw UTF-8 bytes, a fraction of a MB at a time (what
+processor caches hold), so
 memory stays bounded whatever the batch holds.
 """
 
@@ -13,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 18
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 PRIME = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
