@@ -153,3 +153,17 @@ def account_quality(billgl: DataFrame) -> DataFrame:
     segment (no second hyphen), for which the segment columns are NULL."""
     return billgl.agg(F.count("*").alias("lines"),
                       F.count_if(account_segment("acct_code").isNull()).alias("without_segment"))
+
+
+def lookup(df: DataFrame, table: DataFrame, key: str, row: Sequence[str]) -> DataFrame:
+    """``df`` left-joined with ``table`` on ``key``, a key that many rows may lack.
+
+    Rows without a key match nothing, but a join on the key alone sends all
+    of them to one task.  A second join column (0 on rows with a key and in
+    the table, a hash of the columns ``row`` on the others) deals them out
+    over all tasks; consecutive lookups on one key reuse the partitioning.
+    """
+    spread = f"_spread_{key}"
+    if spread not in df.columns:
+        df = df.withColumn(spread, F.when(F.col(key).isNull(), F.xxhash64(*row).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long")))
+    return df.join(table.withColumn(spread, F.lit(0).cast("long")), [key, spread], "left")

@@ -40,19 +40,21 @@ def _constants() -> list[F.Column]:
 
 # --- R7: AP register --------------------------------------------------------
 
-def _ap_register(t: Tables, audit, method: str) -> DataFrame:
+def _ap_register(t: Tables, audit, method: str, keep: tuple[str, ...]) -> DataFrame:
     a = t.ap_bill.filter((F.col("source_audit") > 0) & (F.col("source_reg") == "IP Register"))
     if audit is not None:
         a = a.filter(F.col("source_audit") == F.lit(audit))
     v = t.vendor.select("vendor_id", "user3")
     x = a.join(v, "vendor_id", "inner")
+    # numbering writes its rows, so only what the caller reads goes in
+    x = x.select(*dict.fromkeys(["source_audit", "user3", "bill_number", "ap_bill_id", *keep]))
     order = [text_key("user3"), text_key("bill_number"), F.col("ap_bill_id")]
     return number_items(x, ["source_audit"], order, method=method)
 
 
 def ap_register_header(t: Tables, audit=None, method: str = "range") -> DataFrame:
     """R7 header. The gross amount is *not* negated for credits (only the lines are)."""
-    x = _ap_register(t, audit, method)
+    x = _ap_register(t, audit, method, ("tx_date", "tx_reference", "tx_amt"))
     out = x.select(
         F.col("source_audit").alias("cntbtch"),
         "cntitem",
@@ -70,7 +72,7 @@ def ap_register_header(t: Tables, audit=None, method: str = "range") -> DataFram
 
 def ap_register_detail(t: Tables, audit=None, method: str = "range") -> DataFrame:
     """R7 detail: expense lines of the numbered bills, credits negated."""
-    x = _ap_register(t, audit, method).select("ap_bill_id", "source_audit", "cntitem", "tx_type")
+    x = _ap_register(t, audit, method, ("tx_type",)).select("ap_bill_id", "source_audit", "cntitem", "tx_type")
     lines = x.join(t.ap_bill_exp, "ap_bill_id", "inner")
     out = lines.select(
         F.col("source_audit").alias("cntbtch"),

@@ -30,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorry.functions.columns import prorate, share, text_key, zone_label
-from lorry.operators.legs import bill_miles, carrier_miles, carrier_pay, extra_charges, split_bills
+from lorry.operators.legs import carrier_miles, carrier_pay, extra_charges
 from lorry.operators.lookups import safe_zone, skid_units
+from lorry.session import stage
 from lorry.sources.tables import Tables
 
 
@@ -50,20 +51,35 @@ def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix:
         "origcity", "origprov", "destcity", "destprov", "requested_equipmen", "distance", "pallets",
     )
 
-    # bill-keyed: split filter, freight miles, skid units, then the bridge rows
-    x = bills.join(split_bills(t.ilegdtl).select(F.col("ild_fb_id").alias("detail_line_id")), "detail_line_id", "inner")
-    x = x.join(bill_miles(t.legsum, t.ilegdtl).withColumnRenamed("ild_fb_id", "detail_line_id"), "detail_line_id", "inner")
-    if skids:
-        x = x.join(skid_units(t.tldtl).withColumnRenamed("order_id", "detail_line_id"), "detail_line_id", "left")
-    bridge = t.ilegdtl.select(F.col("ild_fb_id").alias("detail_line_id"), F.col("ild_leg_id"))
-    x = x.join(bridge, "detail_line_id", "inner")
-
-    # leg-keyed
+    # the legs that the selected bills ride, once: miles, split filter and output rows
+    # all read it, and nothing is aggregated for bills outside the period
     legs = t.legsum.select(
         "ls_leg_id", "ls_trip_number", "ls_leg_seq", "ls_interliner", "ls_leg_dist", "ls_from_zone", "ls_to_zone",
         "lego_zone_desc", "legd_zone_desc", "ls_driver", "ls_power_unit",
     )
-    x = x.join(legs, x.ild_leg_id == legs.ls_leg_id, "inner")
+    bridge = t.ilegdtl.select(F.col("ild_fb_id").alias("detail_line_id"), F.col("ild_leg_id").alias("ls_leg_id"), "ild_res_type")
+    means = (
+        t.ilegdtl.filter(F.col("ild_res_type").isin("D", "I")).groupBy(F.col("ild_leg_id").alias("ls_leg_id"))
+        .agg(F.max(F.col("ild_res_type") == "D").alias("_d"), F.max(F.col("ild_res_type") == "I").alias("_i"))
+    )
+    rides = stage(
+        bridge.join(bills.select("detail_line_id"), "detail_line_id", "left_semi")
+        .join(legs, "ls_leg_id", "inner").join(means, "ls_leg_id", "left"), "rides")
+    freight = F.col("ild_res_type") == "F"
+    per_bill = (
+        rides.groupBy("detail_line_id")
+        .agg(F.sum(F.when(freight, F.col("ls_leg_dist"))).alias("total_fb_miles"),
+             F.max(freight & F.col("_d")).alias("_d"), F.max(freight & F.col("_i")).alias("_i"))
+        .filter(F.col("_d") & F.col("_i")).select("detail_line_id", "total_fb_miles")
+    )
+    x = bills.join(per_bill, "detail_line_id", "inner")
+    if skids:
+        x = x.join(skid_units(t.tldtl).withColumnRenamed("order_id", "detail_line_id"), "detail_line_id", "left")
+    # read back from a written table, both sides of the join have an exchange of their
+    # own, so the rides of a hot bill can be split
+    x = stage(x, "split-bills").join(rides.drop("_d", "_i", "ild_res_type"), "detail_line_id", "inner")
+
+    # leg-keyed
     pay = carrier_pay(t.order_interliner)
     x = x.join(
         pay, (x.detail_line_id == pay.detail_line_id) & (x.ls_interliner == pay.interliner_id), "left"
@@ -88,7 +104,7 @@ def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix:
         labels = {"trip_from": F.col("orig_zone_desc"), "trip_to": F.col("dest_zone_desc"),
                   "leg_from": F.col("lego_zone_desc"), "leg_to": F.col("legd_zone_desc")}
     else:
-        z = t.zone.select("zone_id", "province", "is_terminal") if zones == "inner" else safe_zone(t.zone)
+        z = t.zone.select("zone_id", "province", "is_terminal") if zones == "inner" else stage(safe_zone(t.zone), "safe-zones")
         how = "inner" if zones == "inner" else "left"
         for role, key, desc in (("tzf", "origin_zone", "orig_zone_desc"), ("tzt", "destination_zone", "dest_zone_desc"),
                                 ("lzf", "ls_from_zone", "lego_zone_desc"), ("lzt", "ls_to_zone", "legd_zone_desc")):

@@ -15,13 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorry.functions.columns import margin_percent, non_blank, text_key
-from lorry.operators.lookups import feet, first_trace, milestones
+from lorry.operators.lookups import feet, first_trace, lookup, milestones
 from lorry.sources.tables import Tables
 
 MEASURES = ("revenue_ship", "revenue_fsc", "revenue_acc", "revenue_total", "ip_ship", "ip_fsc", "ip_acc", "ip_total",
             "dp", "total_cost", "margin")
 
 
+#: what tells rows apart; legs without bills, splits or masters are many
+ROW = ("trip", "leg")
+
+
 def gross_margin(t: Tables) -> DataFrame:
     g = t.rpt_gross_margin.join(t.trip.select(F.col("trip_number").alias("trip")), "trip", "inner")
 
@@ -38,26 +42,26 @@ def gross_margin(t: Tables) -> DataFrame:
         "op_code", "dangerous_goods", F.col("rollup_pallets").alias("pallets"), F.col("rollup_weight").alias("weight"),
         F.col("rollup_cube").alias("cube"), F.col("currency_code").alias("fb_currency"), "sales_agent",
     )
-    g = g.join(last, "max_dlid", "left")
+    g = lookup(g, last, "max_dlid", ROW)
     traces = first_trace(t.trace, {"po": "P", "bol": "1", "order_no": "9"}, key="max_dlid")
-    g = g.join(traces, "max_dlid", "left")
-    g = g.join(feet(t.tldtl).withColumnRenamed("order_id", "max_dlid"), "max_dlid", "left")
+    g = lookup(g, traces, "max_dlid", ROW)
+    g = lookup(g, feet(t.tldtl).withColumnRenamed("order_id", "max_dlid"), "max_dlid", ROW)
 
     # --- the first bill (O), its milestones and split origin
     first = tl.select(
         F.col("detail_line_id").alias("min_dlid"), F.col("actual_pickup").alias("picked_up_on"),
         F.col("actual_delivery").alias("delivered_on"), F.col("bill_date").alias("invoiced_on"), "created_by",
     )
-    g = g.join(first, "min_dlid", "left")
-    g = g.join(milestones(t.odrstat, key="min_dlid"), "min_dlid", "left")
+    g = lookup(g, first, "min_dlid", ROW)
+    g = lookup(g, milestones(t.odrstat, key="min_dlid"), "min_dlid", ROW)
     splits = t.tlorder_splits.select(F.col("detail_line_id").alias("min_dlid"), "orig_detail_line_id")
-    g = g.join(splits, "min_dlid", "left")
+    g = lookup(g, splits, "min_dlid", ROW)
 
     # --- parent bill (B23): split origin's bill, else master order's bill, else own
     p3 = tl.select(F.col("detail_line_id").alias("orig_detail_line_id"), F.col("bill_number").alias("_p3_bill"))
-    g = g.join(p3, "orig_detail_line_id", "left")
+    g = lookup(g, p3, "orig_detail_line_id", ROW)
     p1 = tl.select(F.col("detail_line_id").alias("master_order"), F.col("bill_number").alias("_p1_bill"))
-    g = g.join(p1, "master_order", "left")
+    g = lookup(g, p1, "master_order", ROW)
 
     # --- small dimensions (AQE broadcasts them once measured)
     v = t.vendor.select(F.col("vendor_id").alias("carrier_id"), F.col("name").alias("carrier"))

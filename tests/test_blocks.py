@@ -195,3 +195,25 @@ def test_number_items_edge_inputs(spark):
     w = number_items(nulls, ["b"], [F.col("k"), F.col("id")], out="n", method="window")
     assert sorted(rows(a, "id", "n")) == sorted(rows(w, "id", "n"))
     assert sorted(r.n for r in a.collect()) == list(range(1, 201))
+
+
+# --- rows without a key do not meet in one task --------------------------------------------
+def test_lookup_spreads_rows_without_key(spark):
+    from pyspark.sql import functions as F
+
+    from lorry.operators.lookups import lookup
+
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"))
+    table = spark.range(0, 3000, 2).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = lookup(df, table, "k", ("id",))
+        sizes = [r["count"] for r in out.where("k is null").groupBy(F.spark_partition_id()).count().collect()]
+        got = sorted((r.id, r.v) for r in out.collect())
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == 2000 and max(sizes) < 600
+    assert [g[0] for g in got] == list(range(3000)) and all((v == "v") == (i % 6 == 0) for i, v in got)
