@@ -166,4 +166,5 @@ def lookup(df: DataFrame, table: DataFrame, key: str, row: Sequence[str]) -> Dat
     spread = f"_spread_{key}"
     if spread not in df.columns:
         df = df.withColumn(spread, F.when(F.col(key).isNull(), F.xxhash64(*row).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long")))
-    return df.join(table.withColumn(spread, F.lit(0).cast("long")), [key, spread], "left")
+    # 0, but not as a constant: the optimizer would drop a constant from the join's keys
+    return df.join(table.withColumn(spread, F.pmod(F.xxhash64(key), F.lit(1))), [key, spread], "left")
