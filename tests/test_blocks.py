@@ -217,3 +217,46 @@ def test_lookup_spreads_rows_without_key(spark):
             spark.conf.set(c, v)
     assert sum(sizes) == 2000 and max(sizes) < 600
     assert [g[0] for g in got] == list(range(3000)) and all((v == "v") == (i % 6 == 0) for i, v in got)
+
+
+# --- branches that no registered row reaches -------------------------------------------------
+def test_latest_audit_of_one_register_and_its_companies(spark):
+    from lorry.operators.lookups import latest_audit
+
+    audits = spark.createDataFrame([("Billing Register", 0, 202501), ("Billing Register", 1, 202503), ("Billing Register", 2, 202509),
+                                    ("IP Register", 0, 202512), ("Billing Register", None, 202511)],
+                                   "source_reg string, company_id int, source_audit int")
+    assert latest_audit(audits).first()[0] == 202503
+
+
+def test_port_of_entry_of_the_default_broker(spark):
+    from lorry.operators.lookups import port_of_entry
+
+    customs = spark.createDataFrame([(1, "True", "CA", "0901"), (1, "False", "CA", "0902"), (2, "True", None, "0901"), (3, None, "CA", "0901")],
+                                    "detail_line_id long, default_broker string, orig_country string, port_of_entry string")
+    codes = "seg_name string, ele_nbr int, value string, description string"
+    ace = spark.createDataFrame([("PR", 1, "0901", "ace port"), ("XX", 1, "0901", "other segment")], codes)
+    aci = spark.createDataFrame([("PR", 1, "0901", "aci port")], codes)
+    assert sorted(rows(port_of_entry(customs, ace, aci), "detail_line_id", "port_of_entry")) == [(1, "ace port"), (2, "aci port")]
+
+
+@pytest.mark.parametrize("hub, picked_up", [("RR-7", True), ("XX-7", False)])
+def test_pickups_at_rail_zones(spark, frames, hub, picked_up):
+    """A terminal that is neither the carrier's first place nor the bill's own stop: a pickup at RR- zones only."""
+    from lorry.plans import contract
+
+    day = dt.datetime(2025, 1, 2)
+    t = frames(
+        legsum=spark.createDataFrame([(10, 1, 1, 5, "L", "A", hub, day, day, 1, 1), (20, 1, 2, 5, "L", hub, "B", day, day, 1, 1)],
+                                     "ls_leg_id long, ls_trip_number long, ls_leg_seq long, ls_interliner long, ls_mt_loaded string, ls_from_zone string, "
+                                     "ls_to_zone string, ls_planned_departure timestamp_ntz, ls_expected_date timestamp_ntz, ls_num_pu int, ls_num_del int"),
+        zone=spark.createDataFrame([(z, z, "1", None, "c", "p", "pc", str(z == hub)) for z in ("A", "B", hub)],
+                                   "zone_id string, short_description string, address1 string, address2 string, city string, province string, "
+                                   "postal_code string, is_terminal string"),
+        tlorder=spark.createDataFrame([(7, "N", "M", 1, 2)], "detail_line_id long, origname string, destname string, start_zone int, end_zone int"),
+        ilegdtl=spark.createDataFrame([(10, "F", 7, 1), (20, "F", 7, 1)], "ild_leg_id long, ild_res_type string, ild_fb_id long, ild_trip_number long"),
+        legdtl=spark.createDataFrame([(10, "P", 1, 7, "F"), (20, "D", 2, 7, "F")],
+                                     "ld_leg_id long, ld_pd string, ld_pd_order long, ld_fb_id long, ld_type string"),
+    )
+    got = rows(contract.stop_rows(t).where("leg_id = 20 and ld_pd = 'P'"), "detail_line_id", "term_origname")
+    assert got == ([(7, hub)] if picked_up else [])
