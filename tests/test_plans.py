@@ -5,6 +5,7 @@ not planned as a single-partition window."""
 import pytest
 
 import __spark_entry__ as entry
+from lorry import registry
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
 # the export side of the round trip runs a per-partition pandas step by design
@@ -15,7 +16,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", list(entry.queries()))
+@pytest.mark.parametrize("key", list(registry.queries()))
 def test_no_forbidden_nodes(spark, sf_dir, key):
     p = plan(entry.queries()[key](spark, sf_dir))
     bad = [n for n in FORBIDDEN if n in p and not (key in PYTHON_OK and "Python" in n)]

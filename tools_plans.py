@@ -18,7 +18,7 @@ def main() -> None:
     from lorry.session import local_session
 
     spark = local_session(shuffle_partitions=16, app="lorry-plans")
-    import __spark_entry__ as entry
+    from lorry import registry
 
     lines = [
         "# PLANS — physical shape of each registered report",
@@ -31,7 +31,7 @@ def main() -> None:
         "| key | exchanges | broadcast joins | sort-merge joins | shuffled-hash joins | windows | staged scans | collated sort |",
         "|---|---|---|---|---|---|---|---|",
     ]
-    for key, job in entry.queries().items():
+    for key, job in registry.queries().items():
         df = job(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         p = df._jdf.queryExecution().executedPlan().toString()
