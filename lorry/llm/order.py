@@ -86,7 +86,7 @@ def _blocks(docs: DataFrame, ids: Column, width: int) -> tuple[dict[tuple[str, i
 
 
 def materialise(docs: DataFrame, ids: Column, path: str, width: int, end: int, pad: int, length: int = 512,
-                per_shard: int = 1 << 16, key: int = 20240917) -> Layout:
+                per_shard: int = 1 << 15, key: int = 20240917) -> Layout:
     """Writes the shards under ``path``.  ``ids`` is a binary column:
     little-endian integers of ``width`` bytes."""
     start, total = _blocks(docs, ids, width)
@@ -171,12 +171,14 @@ def materialise(docs: DataFrame, ids: Column, path: str, width: int, end: int, p
 
 
 def read_shards(spark: SparkSession, layout: Layout, first_slot: int = 0) -> DataFrame:
-    """``slot, ids`` (raw bytes) of every record from a slot on; a reader skips
-    whole shards before it and the records before it in its own shard."""
+    """``slot, sequence, ids`` (raw bytes) of every record from a slot on;
+    ``sequence`` is the number that the record has in the packed stream.  A
+    reader skips whole shards before the slot and the records before it in its
+    own shard.  A task holds one shard at a time."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(layout.path)
     shard = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^part-(\d+)", 1).cast("long")
     kept = files.where(F.col("length") > 0).select(shard.alias("shard"), "content").where(F.col("shard") >= first_slot // layout.per_shard)
-    stride, per_shard = layout.stride, layout.per_shard
+    stride, per_shard, n, key = layout.stride, layout.per_shard, layout.sequences, layout.key
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -190,21 +192,9 @@ def read_shards(spark: SparkSession, layout: Layout, first_slot: int = 0) -> Dat
                 lo = max(0, first_slot - shard * per_shard)
                 for at in range(lo, len(rows), 4096):
                     part = np.ascontiguousarray(rows[at:at + 4096, :-1])
+                    slot = np.arange(at, at + len(part)) + shard * per_shard
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.arange(at, at + len(part)) + shard * per_shard), pa.array([r.tobytes() for r in part], pa.binary())],
-                        ["slot", "ids"])
+                        [pa.array(slot), pa.array(permute(slot, n, key, inverse=True)), pa.array([r.tobytes() for r in part], pa.binary())],
+                        ["slot", "sequence", "ids"])
 
-    return kept.mapInArrow(task, "slot long, ids binary")
-
-
-def sequence_numbers(slots: DataFrame, layout: Layout) -> DataFrame:
-    """Adds ``sequence``, the number that a slot's sequence has in the packed stream."""
-    n, key = layout.sequences, layout.key
-
-    @F.pandas_udf("long")
-    def back(slot):
-        import pandas as pd
-
-        return pd.Series(permute(slot.to_numpy(), n, key, inverse=True))
-
-    return slots.withColumn("sequence", back("slot"))
+    return kept.mapInArrow(task, "slot long, sequence long, ids binary")

@@ -19,7 +19,7 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lorry-stage/shards-{uuid.uuid4().hex}"
     layout = order.materialise(docs, F.col("text").cast("binary"), path, width=1, end=END, pad=PAD)
-    back = order.sequence_numbers(order.read_shards(spark, layout), layout)
+    back = order.read_shards(spark, layout)
     padding = F.when(F.col("sequence") == layout.sequences - 1,
                      F.length(F.regexp_replace(F.hex("ids"), f"((?:{PAD:02X})*)$", ""))).otherwise(2 * layout.length * layout.width)
     return back.select("slot", "sequence", (padding / 2 / layout.width).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
