@@ -49,6 +49,22 @@ def test_near_dedup_stage(kept):
     assert {r.doc_id for r in kept[2]} == {i for i, c in root.items() if i == c}
 
 
+def test_near_dedup_stage_links_from_080(spark, sf_dir, documents):
+    """Pairs of 0.90, 0.81 (below operator 5's 0.85) and 0.73."""
+    rows = []
+    for g, edits in enumerate([(50,), (30, 70), (20, 50, 80)]):
+        words = [f"g{g}w{k}" for k in range(100)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(f"e{k}" if k in edits else w for k, w in enumerate(words)))]
+    root = _brute_components(rows, percent=80)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, documents(rows), sf_dir).collect())
+    assert got == sorted(i for i, c in root.items() if i == c) == [0, 2, 4, 5]
+
+
+def test_near_dedup_stage_of_the_tables(kept):
+    root = _brute_components([(r.doc_id, r.text) for r in kept[1]], percent=80)
+    assert {r.doc_id for r in kept[2]} == {i for i, c in root.items() if i == c}
+
+
 def test_decontamination_stage(spark, sf_dir, kept):
     items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     gone = {r.doc_id for r in kept[2]} - {r.doc_id for r in kept[3]}
