@@ -14,6 +14,11 @@ entities never share a surrogate and no surrogate is a value that occurs; the
 entity with the lower attempt (then the smaller form) keeps its surrogate,
 the other takes the next attempt, until none collides.
 
+Keyed secrets are found in any text: 6 characters or more after a password
+keyword, 16 or more after another.  Phone numbers are those of 3, 3 and 4
+digits in brackets, dotted, dashed, spaced or (from area code 200) bare, and
+those of 8 to 15 digits after a plus sign.
+
 Jobs: texts give their distinct entities under a hash of the text (equal
 texts count once); entities are assigned; replacements are gathered per text
 hash; only texts that have entities move to meet them.
@@ -61,31 +66,35 @@ _TITLES = "|".join(sorted((re.escape(t.capitalize()) + (r"(?=\.)" if t in WITH_S
                           key=lambda t: (-len(t), t)))
 #: a capitalised word that is no title
 _WORD = rf"(?!(?:{_TITLES}))[^\W\d_a-zß-öø-ÿа-яё](?:[^\W\d_]|[’'-](?=[^\W\d_]))*"
-#: type and pattern, in order of preference where two begin at one place; group "v" is the value where there is one
+_SEP = r"[ \u00a0./-]"
+#: type, what the pattern cannot do without and pattern, in order of preference where two begin at one place; group "v" is the value where there is one
 PATTERNS = [
-    ("email", r"[\w.%+-]+@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+"),
-    ("secret", r"(?i:\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key))\s*[=:]\s*[\"']?(?P<v>[A-Za-z0-9+/_-]{16,})"),
-    ("secret", r"(?<![0-9A-Za-z])(?=[A-Fa-f]*\d)[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])"),
-    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]?\d{4}(?!\d)"),
-    ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)"),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
-    ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("card", r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\d)"),
-    ("name", rf"\b(?P<t>{_TITLES})\.?[ \u00a0](?P<v>{_WORD}(?:[ \u00a0]{_WORD}){{0,2}})"),
+    ("email", "@", r"[\w.%+-]+@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+"),
+    ("secret", "", r"(?i:\b(?:token|secret|api[_-]?key|access[_-]?key))[\"']?\s*[=:]\s*[\"']?(?P<v>[A-Za-z0-9+/_-]{16,})"),
+    ("secret", "", r"(?i:(?:\b|_)(?:password|passwd|passphrase|pwd))[\"']?\s*[=:]\s*[\"']?(?P<v>[^\s\"'<>,;]{5,}[^\s\"'<>,;.:!?()\[\]{}])"),
+    ("secret", "digit", r"(?<![0-9A-Za-z])(?=[A-Fa-f]*\d)[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])"),
+    ("phone", "digit", rf"(?<![\w+])(?:\+1{_SEP}?\(?\d{{3}}\)?{_SEP}?\d{{3}}{_SEP}?\d{{4}}(?!\d)|\+[1-9](?:{_SEP}?\(?\d\)?){{7,14}}(?!\d))"),
+    ("phone", "digit", r"(?<![\w+])(?:1[ .-])?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]?\d{4}(?!\d)"),
+    ("phone", "digit", r"(?<![\w+$€£])(?<!\d[.,])(?:(?:1[ \u00a0])?[2-9]\d{2}[ \u00a0]\d{3}[ \u00a0.-]?\d{4}|[2-9]\d{9})(?!\w|[.,]\d)"),
+    ("ip", "digit", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)"),
+    ("iban", "digit", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
+    ("ssn", "digit", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
+    ("card", "digit", r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\d)"),
+    ("name", "title", rf"\b(?P<t>{_TITLES})\.?[ \u00a0](?P<v>{_WORD}(?:[ \u00a0]{_WORD}){{0,2}})"),
 ]
 
 
 def detector():
     """A function from a text to its entities ``(start, stop, type, normal form)``, in order, without overlap."""
-    compiled = [(kind, re.compile(p)) for kind, p in PATTERNS]
+    compiled = [(kind, needs, re.compile(p)) for kind, needs, p in PATTERNS]
     digits = re.compile(r"\d")
     title = re.compile(rf"\b(?:{_TITLES})\.?[ \u00a0]")
 
     def detect(text: str) -> list[tuple[int, int, str, str]]:
         found = []
-        has_digit, has_at, has_title = digits.search(text), "@" in text, title.search(text)
-        for order, (kind, p) in enumerate(compiled):
-            if not (has_at if kind == "email" else has_title if kind == "name" else has_digit):
+        has = {"": True, "@": "@" in text, "digit": digits.search(text), "title": title.search(text)}
+        for order, (kind, needs, p) in enumerate(compiled):
+            if not has[needs]:
                 continue
             for m in p.finditer(text):
                 start, stop = m.span("v") if "v" in p.groupindex else m.span()
@@ -170,6 +179,8 @@ def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
     if kind == "iban":
         return form[:2] + "".join(str(s.below(10)) if c.isdigit() else _letter(c, s) for c in form[2:])
     if kind == "secret":
+        if attempt >= 8:  # too few of this length: longer ones
+            form += "x" * (attempt // 8)
         hexadecimal = all(c in "0123456789abcdef" for c in form)
         return "".join((str(s.below(10)) if c.isdigit() else "abcdef"[s.below(6)] if hexadecimal else _letter(c, s) if c.isalpha() else c) for c in form)
     own = [str(s.below(10)) for _ in form]

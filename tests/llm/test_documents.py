@@ -389,6 +389,34 @@ def test_formats_types_and_coreference():
     assert detect("Version 1.2.3 of 2024-05-06 costs 12,500.00 and M is a letter. The token is short. 12345") == []
 
 
+@pytest.mark.parametrize("text, want", [
+    ("password = correcthorsebatterystaple", [("secret", "correcthorsebatterystaple")]),
+    ("password = correcthorsebatterystaple 7", [("secret", "correcthorsebatterystaple")]),
+    ("password: hunter2hunter2.", [("secret", "hunter2hunter2")]),
+    ('{"password": "s3cr#t!x9"}', [("secret", "s3cr#t!x9")]),
+    ("token = abcdefghijklmnopqrst", [("secret", "abcdefghijklmnopqrst")]),
+    *((f"call {x}, please", [("phone", x)]) for x in (
+        "555 123 4567", "+1 555 123 4567", "+44 20 7946 0958", "+49 30 1234567", "5551234567", "(555) 123-4567", "555.123.4567", "1-555-123-4567", "+15551234567")),
+    ("at 1700000000 a price of 12,500.25, 0.5551234567 or $5551234567 and token: short", []),
+    ("4785 3805 9239 1139 then 10.2.33.255 and 123-45-6789, Mr. John Smith, ann@mail.example.com, GB29 NWBK 6016 1331 9268 19",
+     [("card", "4785 3805 9239 1139"), ("ip", "10.2.33.255"), ("ssn", "123-45-6789"), ("name", "John Smith"), ("email", "ann@mail.example.com"),
+      ("iban", "GB29 NWBK 6016 1331 9268 19")]),
+])
+def test_exact_entities(text, want):
+    found = pii.detector()(text)
+    assert [(kind, text[a:b]) for a, b, kind, _ in found] == want
+    for a, b, kind, form in found:
+        assert pii.render(kind, text[a:b], pii.surrogate(kind, form, 0, b"k")) != text[a:b]
+
+
+def test_secrets_of_few_surrogates(spark):
+    """Without a letter or digit, and one letter each: longer surrogates, no collision."""
+    forms = ["!#%&*+-"] + [f"{c}#####" for c in "abcdefghijklmnopqrstuvwxyz"]
+    got = pii.assign(spark.createDataFrame([(1, "secret", f) for f in forms], "key long, kind string, form string"), b"key").collect()
+    names = [r.surrogate for r in got]
+    assert len(got) == len(forms) == len(set(names)) and not set(names) & set(forms)
+
+
 def test_collisions_are_resolved(spark):
     """Twelve hundred addresses whose own format leaves few others: all differ, none is a real one."""
     forms = [f"{a}.{b}.{c}.{d}" for a in range(6) for b in range(6) for c in range(6) for d in range(6)]
