@@ -8,7 +8,10 @@ a name of the title's gender in its own script.
 
 An entity is a type and a normal form (digits of a number, lower case of an
 address or secret), so every mention of it, in any document and format, gets
-the same surrogate.  Surrogates come from HMAC-SHA256 of key, type, normal
+the same surrogate.  A phone number of ten digits is one of country code 1.
+A name has two entities: its last word, keyed without the title, and what
+stands before it, keyed with the last word and the gender; a title that tells
+no gender takes that of the one gender the same name has elsewhere.  Surrogates come from HMAC-SHA256 of key, type, normal
 form and attempt.  Collision checks run over all entities of the corpus: two
 entities never share a surrogate and no surrogate is a value that occurs; the
 entity with the lower attempt (then the smaller form) keeps its surrogate,
@@ -84,6 +87,18 @@ PATTERNS = [
 ]
 
 
+#: country codes of two digits; 1 and 7 have one, the others three
+CODES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def phone_form(mention: str) -> str:
+    """Plus sign, country code and digits of a phone number (digits only where no code is told)."""
+    own = "".join(c for c in (mention.replace("(0)", "") if mention[0] == "+" else mention) if c.isdigit())
+    if mention[0] == "+":
+        return "+" + own
+    return "+1" + own if len(own) == 10 else "+" + own if len(own) == 11 and own[0] == "1" else own
+
+
 def detector():
     """A function from a text to its entities ``(start, stop, type, normal form)``, in order, without overlap."""
     compiled = [(kind, needs, re.compile(p)) for kind, needs, p in PATTERNS]
@@ -102,7 +117,9 @@ def detector():
                 if kind == "name":
                     t = m["t"].lower()
                     form = ("m" if t in MALE else "f" if t in FEMALE else "n") + ":" + form.replace("\u00a0", " ").casefold()
-                elif kind in ("phone", "card", "ssn"):
+                elif kind == "phone":
+                    form = phone_form(form)
+                elif kind in ("card", "ssn"):
                     form = "".join(c for c in form if c.isdigit())
                 elif kind == "iban":
                     form = form.replace(" ", "")
@@ -151,18 +168,25 @@ def _letter(c: str, s: _Stream) -> str:
     return c
 
 
+def _script(name: str) -> str:
+    return "cyrillic" if any("а" <= c <= "я" or c == "ё" for c in name) else "latin"
+
+
 def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
     """The normal form of the surrogate of an entity."""
     s = _Stream(key, f"{kind}\0{form}\0{attempt}")
     if kind == "name":
-        gender, name = form[0], form[2:]
-        script = "cyrillic" if any("а" <= c <= "я" or c == "ё" for c in name) else "latin"
-        words = name.split(" ")
-        syllables = SYLLABLES[script]
-        last = "".join(syllables[s.below(len(syllables))] for _ in range(3 + attempt // 8))
-        first = FIRST[script, gender]
-        given = [first[s.below(len(first))].casefold() for _ in words[1:]]
-        return f"{gender}:" + " ".join([*given, last])
+        last = form[2:].rpartition(" ")[2]
+        given = surrogate("given", form, attempt, key).rpartition(" ")[0]
+        return f"{form[0]}:{given} ".replace(": ", ":") + surrogate("surname", last, attempt, key)
+    if kind == "surname":
+        syllables = SYLLABLES[_script(form)]
+        return "".join(syllables[s.below(len(syllables))] for _ in range(3 + attempt // 8))
+    if kind == "given":  # with the real last word: given names differ among those who share it
+        *given, last = form[2:].split(" ")
+        first = FIRST[_script("".join(given)), form[0]] if given else ()
+        # too few first names: joined ones
+        return " ".join([*("-".join(first[s.below(len(first))].casefold() for _ in range(1 + attempt // 4)) for _ in given), last])
     if kind == "ip":
         parts = []
         for p in form.split("."):
@@ -184,8 +208,9 @@ def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
         hexadecimal = all(c in "0123456789abcdef" for c in form)
         return "".join((str(s.below(10)) if c.isdigit() else "abcdef"[s.below(6)] if hexadecimal else _letter(c, s) if c.isalpha() else c) for c in form)
     own = [str(s.below(10)) for _ in form]
-    if kind == "phone" and len(form) > 10:
-        own[:len(form) - 10] = form[:len(form) - 10]  # the country code
+    if kind == "phone" and form[0] == "+":
+        code = 2 if form[1] in "17" else 3 if form[1:3] in CODES else 4
+        own[:code] = form[:code]
     if kind == "card":
         own[0] = form[0]
         valid = _luhn(form)
@@ -200,9 +225,14 @@ def render(kind: str, mention: str, form: str) -> str:
         words = re.split(r"([ \u00a0])", mention)
         given = form[2:].split(" ")
         for i, w in enumerate(given):
-            words[2 * i] = w.upper() if words[2 * i].isupper() else w.capitalize()
+            words[2 * i] = w.upper() if words[2 * i].isupper() else "-".join(x.capitalize() for x in w.split("-"))
         return "".join(words)
-    if kind in ("phone", "card", "ssn", "iban"):
+    if kind == "phone":
+        trunk = mention.find("(0)") if mention[0] == "+" else -1  # is no digit of the form
+        places = [i for i, c in enumerate(mention) if c.isdigit() and not (trunk >= 0 and i == trunk + 1)]
+        own = dict(zip(reversed(places), reversed(form), strict=False))  # a mention may lack the country code
+        return "".join(own.get(i, c) for i, c in enumerate(mention))
+    if kind in ("card", "ssn", "iban"):
         it = iter(form)
         return "".join(next(it) if c.isalnum() else c for c in mention)
     if kind in ("email", "secret"):
@@ -228,18 +258,42 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.xxhash64(text).alias("key"), text).mapInArrow(task, "key long, kind string, form string").distinct()
 
 
+def _parts(found: DataFrame) -> DataFrame:
+    """``form, given, surname`` of every name: the forms of its two entities
+    (null where nothing stands before the last word)."""
+    names = found.where("kind = 'name'").select("form").distinct()
+    name, gender = F.substring("form", 3, 1 << 30), F.substring("form", 1, 1)
+    told = names.groupBy(name.alias("name")).agg(F.collect_set(F.when(gender != "n", gender)).alias("told"))  # at most two
+    only = F.when((gender == "n") & (F.size("told") == 1), F.col("told")[0]).otherwise(gender)
+    return names.withColumn("name", name).join(told, "name").select(
+        "form", F.when(F.col("name").contains(" "), F.concat(only, F.lit(":"), "name")).alias("given"),
+        F.substring_index("name", " ", -1).alias("surname"))
+
+
 def assign(found: DataFrame, key: bytes) -> DataFrame:
     """``kind, form, surrogate`` of every entity, without collisions."""
+    parts = stage(_parts(found), "names")
+    own = (found.where("kind <> 'name'").select("kind", "form")
+           .union(parts.select(F.lit("surname"), "surname")).union(parts.where("given is not null").select(F.lit("given"), "given")))
+    given = _without_collisions(own.distinct(), key)
+    first = given.where("kind = 'given'").select(F.col("form").alias("given"), F.regexp_replace("surrogate", "[^ ]+$", "").alias("first"))
+    last = given.where("kind = 'surname'").select(F.col("form").alias("surname"), F.col("surrogate").alias("last"))
+    names = parts.join(last, "surname").join(first, "given", "left").select(
+        F.lit("name").alias("kind"), "form", F.concat(F.substring("form", 1, 2), F.coalesce("first", F.lit("")), "last").alias("surrogate"))
+    return given.where("kind not in ('given', 'surname')").union(names)
+
+
+def _without_collisions(own: DataFrame, key: bytes) -> DataFrame:
+    """``kind, form, surrogate``; values are compared as written, a given name's without its gender."""
 
     @F.pandas_udf("string")
     def named(kind: pd.Series, form: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(a, b, int(c), key) for a, b, c in zip(kind, form, attempt, strict=True)], dtype=object)
 
-    own = found.select("kind", "form").distinct().withColumn("attempt", F.lit(0))
-    given = stage(own.withColumn("surrogate", named("kind", "form", "attempt")), "surrogates")
+    given = stage(own.withColumn("attempt", F.lit(0)).withColumn("surrogate", named("kind", "form", "attempt")), "surrogates")
     while True:
         keeper = given.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "form")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        real = given.select("kind", F.col("form").alias("surrogate"))
+        real = given.select("kind", F.when(F.col("kind") == "given", F.substring("form", 3, 1 << 30)).otherwise(F.col("form")).alias("surrogate"))
         twice = given.join(keeper, ["kind", "surrogate"]).where("form <> first.form").select("kind", "form")
         taken = given.join(real, ["kind", "surrogate"], "left_semi").select("kind", "form")
         moved = stage(twice.union(taken).distinct(), "moved")

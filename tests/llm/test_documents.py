@@ -426,6 +426,35 @@ def test_collisions_are_resolved(spark):
     assert len(got) == len(forms) == len(set(names)) and not set(names) & set(forms)
 
 
+def test_names_and_phones_across_formats(spark, documents):
+    """One surname for one surname whatever the title, others for others, and one number with and without its country code."""
+    texts = ["Mr. John Smith", "Mr. Smith", "Dr. John Smith", "Mrs. Smith", "Mr. JOHN SMITH", "Mrs. Anna Brown", "Dr. Brown", "Mr. Paul Smith",
+             "+1 (487) 555-7209", "487-555-7209", "487 555 7209", "4875557209", "1-487-555-7209", "+44 20 7946 0958", "+44 (0)20 7946 0958"]
+    out = {r.doc_id: r.text for r in pii.replace_entities(documents(list(enumerate(texts))), b"secret").collect()}
+    new = [out[k] for k in range(len(texts))]
+    last = [x.split(" ")[-1].upper() for x in new[:8]]
+    assert len({last[k] for k in (0, 1, 2, 3, 4, 7)}) == 1 and last[5] == last[6] != last[0] and not {"SMITH", "BROWN"} & set(last)
+    first = [new[k].split(" ")[1].upper() for k in (0, 2, 4, 7)]
+    assert first[0] == first[1] == first[2] != first[3] and new[0].split(" ")[1] in pii.FIRST["latin", "m"]
+    assert new[5].split(" ")[1] in pii.FIRST["latin", "f"]
+    digits = ["".join(c for c in x if c.isdigit()) for x in new[8:]]
+    assert len({x[-10:] for x in digits[:5]}) == 1 and digits[1] != "4875557209" and digits[0][0] == "1"
+    assert digits[5][:2] == "44" and digits[6] == "440" + digits[5][2:] and digits[5] != "442079460958"
+
+
+def test_written_names_do_not_collide(spark, monkeypatch):
+    """Few syllables and first names: surnames of both genders differ as written, given names within a surname too."""
+    monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba", "be", "bi"])
+    forms = [f"{g}:w{chr(97 + k)}" for k in range(12) for g in "mf"] + [f"m:g{chr(97 + k)} wa" for k in range(26)] + ["m:bababa", "f:ga wa"]
+    got = {r.form: r.surrogate for r in pii.assign(spark.createDataFrame([(1, "name", f) for f in forms], "key long, kind string, form string"), b"key").collect()}
+    assert set(got) == set(forms) and all(f[:2] == s[:2] for f, s in got.items())
+    last = {f[2:].split(" ")[-1]: s[2:].split(" ")[-1] for f, s in got.items()}
+    assert all(s[2:].split(" ")[-1] == last[f[2:].split(" ")[-1]] for f, s in got.items())
+    assert len(set(last.values())) == len(last) and not set(last) & set(last.values())
+    written = [s[2:] for f, s in got.items() if " " in f]
+    assert len(set(written)) == len(written)
+
+
 def test_replaced_texts(spark, documents):
     mail, card = "ann.lee@mail.example.org", "4785380592391139"
     rows = [(1, f"write to {mail} or {mail.upper()}"), (2, f"{mail}"), (None, f"no id {card}!!"), (4, None), (5, ""), (6, "clean text, 3 of 4"), (1, f"again {mail}"),
