@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lorry.llm import q_bpe, q_chat, q_fim, q_fm, q_imatch, q_interaction, q_minhash, q_order, q_pii, q_recount, q_repeats, q_tiling
+from lorry.llm import q_bpe, q_chat, q_fim, q_fm, q_imatch, q_interaction, q_minhash, q_order, q_pii, q_recompress, q_recount, q_repeats, q_tiling
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_fm": q_fm.op9_quality_fm,
         "op10_edit_counts": q_recount.op10_edit_counts,
         "op11_filter_interaction": q_interaction.op11_filter_interaction,
+        "op12_recompression": q_recompress.op12_recompression,
         "op13_fill_in_middle": q_fim.op13_fill_in_middle,
         "pipeline": corpus_pipeline.run,
     }
@@ -34,5 +35,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_chat_formatting": q_chat.SQL,
         "op8_run_length_dedup": q_repeats.SQL,
         "op11_filter_interaction": q_interaction.SQL,
+        "op12_recompression": q_recompress.SQL,
         "op13_fill_in_middle": q_fim.SQL,
     }
