@@ -52,6 +52,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+#: what a batch of rows on its way to a Python worker may take, unless the session says otherwise
+ARROW_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets batches to Python workers end by bytes as well as by rows.  Spark's
+    own limit (64 MB) stands several times in a worker and once more in the
+    JVM of every task; a session that sets one keeps its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, ARROW_BYTES)
+
+
 #: folders that :func:`stage` has written, by session
 _STAGED: weakref.WeakKeyDictionary[SparkSession, list[str]] = weakref.WeakKeyDictionary()
 
