@@ -14,8 +14,8 @@ collected and broadcast has a fixed size; scoring covers every whole text.
 Defined cases: a null text is an empty text; an empty text has statistics
 only and gets a score; rows without a label do not train; without any
 labelled row, or with labels of one kind only, the score is the smoothed
-share of good labels (0.5 without any); repeated rows are scored alike; a
-null id never trains.
+share of good labels (0.5 without any); repeated rows are scored alike; of the
+texts of one id only the one of the least hash trains; a null id never trains.
 """
 
 from __future__ import annotations
@@ -142,8 +142,10 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 15, rank: int = 8, max
     chosen = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
               .orderBy(F.xxhash64(F.col("doc_id"), F.lit(17)), "doc_id").limit(max_train))
-    # at most max_train ids and labels: a size known beforehand
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # at most max_train ids and labels: a size known beforehand; one text an id, so that
+    # no more than max_train rows reach the driver whatever ids repeat
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+              .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label")))
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -155,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 15, rank: int = 8, max
                      tv.lists(x.astype(np.float32), r, hi - lo, pa.float32())], ["doc_id", "label", "feature", "value"])
 
     got = sample.mapInArrow(task, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label double, feature array<int>, value array<float>").toArrow()
-    got = got.sort_by("doc_id").slice(0, max_train)  # repeated ids add rows, not beyond the bound
+    got = got.sort_by("doc_id")
     if not len(got):
         return fit(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0), bits, rank)
     lists = got.column("feature").combine_chunks()
@@ -165,6 +167,32 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 15, rank: int = 8, max
     return fit(feature, value, np.cumsum(n) - n, np.asarray(got.column("label")), bits, rank)
 
 
+def probabilities(m: Model, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``(first row, last row + 1, score of each)`` of a column of texts, part by part."""
+    for lo, hi, buf, offs in tv.batches(texts):
+        f, x, r = features(buf, offs, m.bits)
+        n = np.bincount(r, minlength=hi - lo)
+        z = raw_scores(m, f, x, np.cumsum(n) - n)
+        yield lo, hi, 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def score_of(docs: DataFrame, model: Model, text: str = "text") -> Column:
+    """The score of every row of ``docs`` as a column: only the text goes to
+    Python workers and only the score comes back, rows stay where they are."""
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
+
+    @F.arrow_udf("double")
+    def scored(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        m = Model(*sent.value)
+        for texts in it:
+            out = np.zeros(len(texts))
+            for lo, hi, p in probabilities(m, texts):
+                out[lo:hi] = p
+            yield pa.array(out)
+
+    return scored(F.col(text))
+
+
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text", out: str = "score") -> DataFrame:
     """``keep`` columns and the score (0 to 1) of every row in the column
     ``out`` (none of ``keep``), in one pass."""
@@ -175,13 +203,8 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*sent.value)
         for b in it:
-            for lo, hi, buf, offs in tv.batches(b.column(text)):
-                f, x, r = features(buf, offs, m.bits)
-                n = np.bincount(r, minlength=hi - lo)
-                z = raw_scores(m, f, x, np.cumsum(n) - n)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(c).slice(lo, hi - lo) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))],
-                    [*keep, out])
+            for lo, hi, p in probabilities(m, b.column(text)):
+                yield pa.RecordBatch.from_arrays([b.column(c).slice(lo, hi - lo) for c in keep] + [pa.array(p)], [*keep, out])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(task, f"{kept}, `{out}` double")
