@@ -14,26 +14,27 @@ from lorry.llm import bpe, fm, graph, minhash, pii, tiling
 from lorry.llm.q_bpe import vocabulary
 from lorry.llm.q_fm import ACCEPT
 from lorry.llm.q_pii import KEY
-from lorry.session import stage
+from lorry.session import small_batches, stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    free = "_" * (1 + max(map(len, docs.columns)))  # no name of the input
-    scored = fm.score(docs, fm.train(docs, labels), keep=tuple(docs.columns), out=free)
-    return scored.where(F.col(free) >= ACCEPT).select(*docs.columns)
+    return docs.where(fm.score_of(docs, fm.train(docs, labels)) >= ACCEPT)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near-duplicates
     (linked from a Jaccard likeness of word shingles of 0.80, not operator 5's 0.85)."""
+    small_batches(spark)
     members = minhash.near_duplicates(docs, percent=80)
     return graph.without(docs, stage(members.where("doc_id <> component_id").select("doc_id").distinct(), "dropped"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover no benchmark item."""
+    small_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = tiling.contaminated(tiling.tile_documents(docs, items))
     return graph.without(docs, stage(found.select("doc_id"), "contaminated"))
@@ -41,6 +42,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates in place of personal data."""
+    small_batches(spark)
     changed = pii.replace_entities(docs, KEY)
     return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
@@ -48,6 +50,7 @@ def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document: ``doc_id, lang, source, n_tokens, ids``
     (little-endian unsigned 32-bit integers)."""
+    small_batches(spark)
     ranks, pattern = vocabulary()
     return bpe.encode(docs, ranks, pattern, keep=("doc_id", "lang", "source")).select("doc_id", "lang", "source", "n_tokens", "ids")
 
