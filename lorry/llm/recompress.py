@@ -4,12 +4,13 @@ A word goes if a window of ``size`` words that covers it also starts in a
 document with a smaller id; windows are judged on the input.
 
 **Names.**  A word sequence is rewritten level by level: runs of one symbol
-become a symbol (run compression), then neighbours ``x y`` whose symbols' bits
+become a symbol (run compression, at every fourth level), then neighbours ``x y`` whose symbols' bits
 are 0 and 1 become one (pair compression).  A name is a 128-bit hash of what
 it stands for, so all tasks give equal strings equal names and no dictionary
 has to be shuffled.  What a window's content alone decides at a level is its
-*interior*: the first and last run are popped, as they may go on outside, then
-a first symbol of bit 1 and a last one of bit 0, as they may pair outside.
+*interior*: where runs are compressed the first and last run are popped, as
+they may go on outside, then a first symbol of bit 1 and a last one of bit 0,
+as they may pair outside.
 Equal windows have equal interiors and equal popped symbols at every level;
 the popped symbols, in order, spell the window, so their combined name is the
 window's.
@@ -52,6 +53,9 @@ from lorry.session import stage
 SIZE = 50
 #: levels of the rewriting; each leaves some three symbols of four
 LEVELS = 13
+#: runs are compressed at every so manyth level from the first on: the symbols that a
+#: window loses to its first and last run are the longer, the higher the level
+RUNS_EVERY = 4
 #: windows that are followed through the levels at a time
 BLOCK = 1 << 15
 
@@ -93,8 +97,8 @@ class Level(NamedTuple):
 
     a: np.ndarray  # names of the symbols
     b: np.ndarray
-    run: np.ndarray  # run of each symbol
-    run_start: np.ndarray  # first symbol of each run, and the end
+    run: np.ndarray | None  # run of each symbol; None where runs stay symbols of their own
+    run_start: np.ndarray | None  # first symbol of each run, and the end
     run_a: np.ndarray  # names of the runs
     run_b: np.ndarray
     right: np.ndarray  # bit of each run
@@ -109,25 +113,29 @@ class Recompression:
         start = np.arange(self.n)
         self.levels: list[Level] = []
         for k in range(levels if self.n else 0):
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (doc[1:] != doc[:-1])
-            run = (np.cumsum(new) - 1).astype(np.int32)
-            head = np.flatnonzero(new)
-            ra, rb, rdoc, rstart = a[head], b[head], doc[head], start[head]
-            length = np.diff(np.append(head, len(a)))
-            many = np.flatnonzero(length > 1)
-            if len(many):
-                times = length[many].astype(np.uint64)
-                ra[many], rb[many] = _join(ra[many] ^ _K[7], times, 0), _join(rb[many] ^ _K[7], times, 1)
+            run = run_start = None
+            ra, rb = a, b
+            if k % RUNS_EVERY == 0:
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (doc[1:] != doc[:-1])
+                run = (np.cumsum(new) - 1).astype(np.int32)
+                head = np.flatnonzero(new)
+                run_start = np.append(head, len(a))
+                ra, rb, doc, start = a[head], b[head], doc[head], start[head]
+                length = np.diff(run_start)
+                many = np.flatnonzero(length > 1)
+                if len(many):
+                    times = length[many].astype(np.uint64)
+                    ra[many], rb[many] = _join(ra[many] ^ _K[7], times, 0), _join(rb[many] ^ _K[7], times, 1)
             right = (tv.mix(ra + tv.constants(62, levels)[k]) & np.uint64(1)).astype(bool)
-            pair = ~right[:-1] & right[1:] & (rdoc[:-1] == rdoc[1:])
+            pair = ~right[:-1] & right[1:] & (doc[:-1] == doc[1:])
             stays = np.ones(len(ra), bool)
             stays[1:] = ~pair
-            self.levels.append(Level(a, b, run, np.append(head, len(a)), ra, rb, right, (np.cumsum(stays) - 1).astype(np.int32)))
+            self.levels.append(Level(a, b, run, run_start, ra, rb, right, (np.cumsum(stays) - 1).astype(np.int32)))
             na, nb = ra.copy(), rb.copy()
             at = np.flatnonzero(pair)
             na[at], nb[at] = _join(ra[at], ra[at + 1], 0), _join(rb[at], rb[at + 1], 1)
-            a, b, doc, start = na[stays], nb[stays], rdoc[stays], rstart[stays]
+            a, b, doc, start = na[stays], nb[stays], doc[stays], start[stays]
         self.a, self.b, self.doc, self.start = a, b, doc, start
 
     def windows(self, at: np.ndarray, size: int, named: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,19 +173,19 @@ class Recompression:
         for level in self.levels:
             if not len(who):
                 break
-            first, last = level.run[lo], level.run[hi]
-            x, y = level.a[lo], level.a[hi]
-            one = first == last
-            if named:
-                every = slice(None)
-                stop = np.minimum(level.run_start[first + 1] - 1, hi)
-                pop(every, 0, x, level.b[lo], (stop - lo + 1).astype(np.uint64))
-                start = level.run_start[last]
-                pop(~one, 1, y[~one], level.b[hi[~one]], (hi - start + 1)[~one].astype(np.uint64))
-            lo, hi = first.astype(np.int64) + 1, last.astype(np.int64) - 1
-            leave(lo > hi, x, y)
-            if not len(who):
-                break
+            if level.run is not None:
+                first, last = level.run[lo], level.run[hi]
+                x, y = level.a[lo], level.a[hi]
+                if named:
+                    stop = np.minimum(level.run_start[first + 1] - 1, hi)
+                    pop(slice(None), 0, x, level.b[lo], (stop - lo + 1).astype(np.uint64))
+                    two = first != last
+                    start = level.run_start[last]
+                    pop(two, 1, y[two], level.b[hi[two]], (hi - start + 1)[two].astype(np.uint64))
+                lo, hi = first.astype(np.int64) + 1, last.astype(np.int64) - 1
+                leave(lo > hi, x, y)
+                if not len(who):
+                    break
             x, y = level.run_a[lo], level.run_a[hi]
             out_left, out_right = level.right[lo], ~level.right[hi]
             single = lo == hi
@@ -298,9 +306,9 @@ def marks(docs: DataFrame, size: int = SIZE, levels: int = LEVELS) -> DataFrame:
     whole = stage(met.where("doc > first").select("doc", "key", "start", "stop"), "whole")
     left = clear.unionByName(met.where("first is null or doc <= first").drop("first"))
     # round 2: anchors of what is left
-    runs = stage(left.select("doc", "key", F.posexplode("anchors").alias("k", "anchor"), "firsts", "stop")
-                 .select("doc", "key", "anchor", F.col("firsts")[F.col("k")].alias("lo"),
-                         F.coalesce(F.expr("get(firsts, k + 1)") - 1, F.col("stop") - size).cast("int").alias("hi")), "anchors")
+    runs = (left.select("doc", "key", F.posexplode("anchors").alias("k", "anchor"), "firsts", "stop")
+            .select("doc", "key", "anchor", F.col("firsts")[F.col("k")].alias("lo"),
+                    F.coalesce(F.expr("get(firsts, k + 1)") - 1, F.col("stop") - size).cast("int").alias("hi")))
     shared = stage(runs.groupBy("anchor").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
                    .where("first < last").select("anchor"), "shared")
     _, maybe = graph.split_by(runs, shared, "anchor")
