@@ -1,11 +1,17 @@
 """Report-layout pay files, read back."""
 
+import csv
 import datetime as dt
 import decimal
+import io
+import random
+import re
 import uuid
 
+import pytest
+
 from lorry.session import ensure_checkpoint_dir
-from lorry.sources.pay_export import export_pay_report, read_pay_export
+from lorry.sources.pay_export import HEADER, _ranges, export_pay_report, read_pay_export
 
 D = decimal.Decimal
 COLUMNS = ("pay_type string, driver string, pay_date date, subsistance decimal(18,2), hours decimal(18,2), "
@@ -83,3 +89,109 @@ def test_record_limit_does_not_split_a_section(spark):
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     assert _rows(read_pay_export(spark, path)) == sorted(rows, key=_key)
+
+
+# --- byte ranges ---------------------------------------------------------------
+
+def _plain(text):
+    """The same reading by the csv module, in one go."""
+    out, title = [], None
+    blanks = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85 "
+    header = [(h or "").strip() for h in HEADER[:7]]
+    for row in csv.reader(io.StringIO(text.removeprefix("﻿"), newline="")):
+        cells = [c.strip(blanks) for c in row] + [""] * (8 - len(row))
+        if not any(cells) or cells[:7] == header:
+            continue
+        if cells[0] and not any(cells[1:]):
+            title = cells[0]
+            continue
+
+        def money(c):
+            try:
+                return D(c.replace("$", "").replace(",", "")).quantize(D("0.01"))
+            except decimal.InvalidOperation:
+                return None
+
+        pay_type = None if title in (None, "(none)") else title[1:-1] if re.fullmatch(r"\(\(+none\)+\)", title) else title
+        out.append((pay_type, cells[0] or None, cells[1] or None, *map(money, cells[2:7])))
+    return sorted(out, key=_key)
+
+
+def _read(spark, path, split):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        df = read_pay_export(spark, str(path))
+        rows = _rows(df)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # dates as the plain reader gives them
+    return sorted(((r[0], r[1], f"{r[2]:%b} {r[2].day}, {r[2].year}" if r[2] else None, *r[3:]) for r in rows), key=_key)
+
+
+def _wild(seed, n):
+    """Records with quoted commas, doubled quotes and line breaks of both kinds, titles
+    (some over two lines), blank and header rows, stray quotes inside fields."""
+    rnd = random.Random(seed)
+
+    def quoted(x):
+        return '"' + x.replace('"', '""') + '"'
+
+    out = []
+    for k in range(n):
+        kind = rnd.random()
+        if kind < 0.08:
+            t = rnd.choice(["CITY", "LONG HAUL", "(none)", "((none))", "two\nline title", 'a "quoted", title'])
+            line = (quoted(t) if rnd.random() < 0.3 or not t.isalnum() and '"' in t or "\n" in t or "," in t else t) + "," * 7
+        elif kind < 0.12:
+            line = rnd.choice(["", ",,,,,,,", "driver ,pay date,subsistance,hours,overtime,other,Net,"])
+        else:
+            name = rnd.choice(["Kim", "Lee\nLine", "Lee\r\nLine", 'q"uote', 'a, b', "x\n\n\ny", '"', 'say ""', "\nstart", ' pad ', "é漢"])
+            name = quoted(name) if any(c in name for c in '",\n') and name != 'q"uote' or rnd.random() < 0.2 else name
+            line = ",".join([f"{name}" if rnd.random() < 0.9 else "", rnd.choice(['"Feb 3, 2021"', '"Mar 12, 2020"']), f"{k}.25",
+                             quoted(f"{k * 1000 + 1000:,}.00"), "n/a", "0.00", rnd.choice(['"$1,246.56"', "-$3.20", '"9"']), ""])
+        out.append(line + rnd.choice(["\n", "\r\n"]))
+    text = "".join(out)
+    return text[:-1] if rnd.random() < 0.5 and text.endswith("\n") and not text.endswith("\r\n") else text
+
+
+@pytest.mark.parametrize("seed, split", [(1, 16), (2, 61), (3, 300), (4, 1 << 20), (5, 23)])
+def test_ranges_equal_reading_in_one_go(spark, tmp_path, seed, split):
+    text = _wild(seed, 120)
+    p = tmp_path / "pay.csv"
+    p.write_bytes(text.encode())
+    assert _read(spark, p, split) == _plain(text)
+
+
+def test_ranges_within_one_field_and_a_byte_order_mark(spark, tmp_path):
+    long = "line of a field\n" * 40
+    text = f'﻿TITLE,,,,,,,\n"{long}","Feb 3, 2021",1.00,2.00,3.00,4.00,$5.00,\n"{long}end",,1.00,,,,,\nNEXT,,,,,,,\nKim,,2.00,,,,,'
+    p = tmp_path / "pay.csv"
+    p.write_bytes(text.encode())
+    assert _read(spark, p, 50) == _plain(text)
+
+
+def test_titles_and_quotes_end_with_their_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('FIRST,,,,,,,\nKim,,1.00,,,,,\n"Lee\nnever closed,,2.00,,,,,\n')
+    (tmp_path / "b.csv").write_text("Max,,3.00,,,,,\nSECOND,,,,,,,\nMax,,4.00,,,,,\n")
+    got = {(r[0], r[1].split("\n")[0], r[3]) for r in _read(spark, tmp_path, 20)}
+    assert got == {("FIRST", "Kim", D("1.00")), (None, "Max", D("3.00")), ("SECOND", "Max", D("4.00"))} | {g for g in got if g[1] == "Lee"}
+
+
+def test_a_plain_file_is_read_by_many_tasks(spark, tmp_path):
+    p = tmp_path / "pay.csv"
+    with p.open("w") as f:
+        for k in range(60_000):
+            f.write(f"SECTION {k // 1000},,,,,,,\n" if k % 1000 == 0 else f'Driver {k},"Feb 3, 2021",{k}.00,1.00,0.00,0.00,"$1,000.00",\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 200_000)
+    try:
+        df = read_pay_export(spark, str(p))
+        assert _ranges(spark, str(p)).select("start").distinct().count() >= p.stat().st_size // 200_000
+        assert df.count() == 60_000 - 60
+        got = df.groupBy("pay_type").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {(r.pay_type, r["count"]) for r in got} == {(f"SECTION {k}", 999) for k in range(60)}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "MapInPandas", "MapInArrow", "SinglePartition"))

@@ -7,9 +7,8 @@ import pytest
 import __spark_entry__ as entry
 from lorry import registry
 
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
-# the export side of the round trip runs a per-partition pandas step by design
-PYTHON_OK = {"pay_report_roundtrip"}
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "MapInArrow",
+             "FlatMapGroupsIn", "FlatMapCoGroupsIn", "AggregateInPandas", "WindowInPandas")
 
 
 def plan(df) -> str:
@@ -19,8 +18,7 @@ def plan(df) -> str:
 @pytest.mark.parametrize("key", list(registry.queries()))
 def test_no_forbidden_nodes(spark, sf_dir, key):
     p = plan(entry.queries()[key](spark, sf_dir))
-    bad = [n for n in FORBIDDEN if n in p and not (key in PYTHON_OK and "Python" in n)]
-    assert bad == []
+    assert [n for n in FORBIDDEN if n in p] == []
 
 
 @pytest.mark.parametrize("key", ["ap_v1_header", "ap_v2_header", "ap_register_header", "ar_header_all"])
