@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lorry.llm import textvec as tv
+
 #: strings kept per worker: two generations of this many, of at most this length
 CACHE_ENTRIES = 600_000
 CACHE_PIECE = 64
@@ -147,9 +149,10 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list
 class Encoder:
     """Encodes texts with one vocabulary; keeps results of short strings."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int = CACHE_ENTRIES):
         import regex
 
+        self.entries = entries
         self.ranks, self.queue = ranks, RankQueue(max(ranks.values()) + 1)
         self.find = regex.compile(pattern).findall
         # a cut before a space is no boundary inside a run of white space
@@ -159,7 +162,7 @@ class Encoder:
 
     def keep(self, s: str, ids: bytes) -> bytes:
         if len(s) <= CACHE_PIECE:
-            if len(self.kept) >= CACHE_ENTRIES:
+            if len(self.kept) >= self.entries:
                 self.older, self.kept = self.kept, {}
             self.kept[s] = ids
         return ids
@@ -260,17 +263,18 @@ def _digest(ranks: dict[bytes, int], pattern: str) -> str:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = ("doc_id",),
-           text: str = "text", decoded: bool = False) -> DataFrame:
+           text: str = "text", decoded: bool = False, entries: int = CACHE_ENTRIES) -> DataFrame:
     """``keep`` columns, ``ids`` (binary, little-endian unsigned 32-bit) and
     ``n_tokens`` of every row; with ``decoded`` also the bytes that the ids
     decode to.  The vocabulary is broadcast; its size is that of a vocabulary
-    file, whatever the corpus holds."""
+    file, whatever the corpus holds.  ``entries`` bounds what a worker keeps
+    of strings met before (some 300 bytes each)."""
     sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern, _digest(ranks, pattern)))
     names = [*keep, "ids", "n_tokens"] + ["decoded"] * decoded
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = sent.value[2]
-        encoder = worker_object("encoder:" + key, lambda: Encoder(*sent.value[:2]))
+        encoder = worker_object(f"encoder:{entries}:{key}", lambda: Encoder(*sent.value[:2], entries))
         back = worker_object("decoder:" + key, lambda: Decoder(sent.value[0])).decode
         for whole in it:
             for b in slices(whole, text):
@@ -280,7 +284,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[s
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(
-        task, f"{kept}, ids binary, n_tokens bigint" + ", decoded binary" * decoded)
+        tv.tidy(task), f"{kept}, ids binary, n_tokens bigint" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -299,4 +303,4 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] =
                 yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(out, pa.binary())], [*keep, "decoded"])
 
     kept = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in keep)
-    return encoded.select(*dict.fromkeys([*keep, "ids"])).mapInArrow(task, f"{kept}, decoded binary")
+    return encoded.select(*dict.fromkeys([*keep, "ids"])).mapInArrow(tv.tidy(task), f"{kept}, decoded binary")

@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 15, rank: int = 8, max
                     [ids.slice(lo, hi - lo), label.slice(lo, hi - lo), tv.lists(f.astype(np.int32), r, hi - lo, pa.int32()),
                      tv.lists(x.astype(np.float32), r, hi - lo, pa.float32())], ["doc_id", "label", "feature", "value"])
 
-    got = sample.mapInArrow(task, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label double, feature array<int>, value array<float>").toArrow()
+    got = sample.mapInArrow(tv.tidy(task), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label double, feature array<int>, value array<float>").toArrow()
     got = got.sort_by("doc_id")
     if not len(got):
         return fit(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0), bits, rank)
@@ -207,4 +207,4 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
                 yield pa.RecordBatch.from_arrays([b.column(c).slice(lo, hi - lo) for c in keep] + [pa.array(p)], [*keep, out])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(task, f"{kept}, `{out}` double")
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(tv.tidy(task), f"{kept}, `{out}` double")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,10 +74,10 @@ def split_by(docs: DataFrame, ids: DataFrame, column: str = "doc_id", own: str |
     be moved to meet ``ids``."""
     words = docs.sparkSession.sparkContext.broadcast(id_filter(ids, column))
 
-    def maybe(s: pd.Series) -> pd.Series:
-        return pd.Series(in_filter(words.value, s.to_numpy()))
+    def maybe(s: pa.Array) -> pa.Array:
+        return pa.array(in_filter(words.value, np.asarray(s)))
 
-    flag = F.pandas_udf(maybe, "boolean")(F.coalesce(F.col(own or column).cast("long"), F.lit(0).cast("long")))
+    flag = F.arrow_udf(maybe, "boolean")(F.coalesce(F.col(own or column).cast("long"), F.lit(0).cast("long")))
     return docs.where(~flag), docs.where(flag)
 
 

@@ -82,7 +82,7 @@ def signatures(docs: DataFrame, k: int, r: int, m: int) -> DataFrame:
                      tv.lists(groups.ravel().view(np.int64), np.repeat(some, 2 * m), size, pa.int64())],
                     ["doc_id", "n", "d1", "d2", "groups"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, "doc_id long, n long, d1 long, d2 long, groups array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tv.tidy(task), "doc_id long, n long, d1 long, d2 long, groups array<long>")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -100,7 +100,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
                      tv.lists(h.view(np.int64), doc, hi - lo, pa.int64())], ["doc_id", "n", "shingles"])
 
     return (docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(task, "doc_id long, n long, shingles array<long>").where("n > 0"))
+            .mapInArrow(tv.tidy(task), "doc_id long, n long, shingles array<long>").where("n > 0"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -125,7 +125,7 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
 
-    rows = sets.select("shingles").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    rows = sets.select("shingles").mapInArrow(tv.tidy(count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     common = np.zeros(ORDER_BUCKETS, np.int64)
     common[np.asarray(rows.column("bucket"))] = np.asarray(rows.column("n"))
     sent = spark.sparkContext.broadcast(np.minimum(common, 2**31 - 1).astype(np.int32))
@@ -144,7 +144,7 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
                 [b.column("doc_id").take(at), b.column("n").take(at), b.column("root").take(at), pa.array(h[order][keep].view(np.int64)),
                  pa.array(place[keep])], ["doc_id", "n", "root", "shingle", "place"])
 
-    return sets.mapInArrow(prefix, "doc_id long, n long, root long, shingle long, place long")
+    return sets.mapInArrow(tv.tidy(prefix), "doc_id long, n long, root long, shingle long, place long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, r: int = 3, m: int = 16) -> DataFrame:

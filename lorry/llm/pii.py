@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorry.llm import graph
+from lorry.llm import textvec as tv
 from lorry.session import stage
 
 MALE = {"mr", "herr", "herrn", "sr", "m", "г-н"}
@@ -255,7 +256,7 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()),
                                               pa.array([r[2] for r in out], pa.string())], ["key", "kind", "form"])
 
-    return docs.select(F.xxhash64(text).alias("key"), text).mapInArrow(task, "key long, kind string, form string").distinct()
+    return docs.select(F.xxhash64(text).alias("key"), text).mapInArrow(tv.tidy(task), "key long, kind string, form string").distinct()
 
 
 def _parts(found: DataFrame) -> DataFrame:
@@ -339,5 +340,5 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", count: str
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64())], [*columns, count])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{count}` long"
-    changed = met.select(*columns, free + "_").mapInArrow(task, schema)
+    changed = met.select(*columns, free + "_").mapInArrow(tv.tidy(task), schema)
     return clear.select(*columns, F.lit(0).cast("long").alias(count)).union(changed)

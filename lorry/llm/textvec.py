@@ -8,7 +8,8 @@ memory stays bounded whatever the batch holds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,6 +21,22 @@ PRIME = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
 
 
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The task, with what it freed given back to the system when it ends:
+    workers are kept for later stages, and allocators keep what was freed."""
+
+    def run(it: Iterator) -> Iterator:
+        try:
+            yield from task(it)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, element by element."""
     x = x.astype(np.uint64, copy=True)

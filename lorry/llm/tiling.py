@@ -161,7 +161,7 @@ def _tile_block(docs: DataFrame, sent, seed: int) -> DataFrame:
                          "tiles": [{"doc": x, "item": y, "n": z} for x, y, z in found[d, i]]}
                         for (d, i), c, s in zip(pairs, covered, size, strict=True)], schema=_schema())
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, ROWS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tv.tidy(task), ROWS)
 
 
 def _schema() -> pa.Schema:
