@@ -53,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 #: what a batch of rows on its way to a Python worker may take, unless the session says otherwise
-ARROW_BYTES = "8m"
+ARROW_BYTES = "4m"
 
 
 def small_batches(spark: SparkSession) -> None:
