@@ -52,7 +52,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (little-endian unsigned 32-bit integers)."""
     small_batches(spark)
     ranks, pattern = vocabulary()
-    return bpe.encode(docs, ranks, pattern, keep=("doc_id", "lang", "source")).select("doc_id", "lang", "source", "n_tokens", "ids")
+    return bpe.encode(docs, ranks, pattern, keep=("doc_id", "lang", "source"), entries=150_000).select("doc_id", "lang", "source", "n_tokens", "ids")
 
 
 STAGES = [
