@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorry.operators.keys import Keys, restricted
 from lorry.session import stage
 
 
@@ -72,13 +73,13 @@ def split_bills(ilegdtl: DataFrame) -> DataFrame:
 MONEY = ("charges", "xcharges", "tax_1", "tax_2", "total_charges")
 
 
-def extra_charges(tlorder: DataFrame) -> DataFrame:
-    """Per parent bill number, the sums of the five money columns over
+def extra_charges(tlorder: DataFrame, numbers: Keys | None = None) -> DataFrame:
+    """Per parent bill number (of ``numbers`` if given), the sums of the five money columns over
     its extra-charge copies (bill number with a '.', interface status not void)."""
     copies = tlorder.filter(
         (F.coalesce(F.col("interface_status_f"), F.lit(0)) != -1) & F.col("bill_number").contains(".")
     ).select("copy_dlid", *MONEY)
-    parents = tlorder.select("detail_line_id", "bill_number")
+    parents = restricted(tlorder.select("detail_line_id", "bill_number"), "bill_number", numbers)
     j = parents.join(copies, parents.detail_line_id == copies.copy_dlid, "inner")
     return j.groupBy("bill_number").agg(*[F.sum(m).alias(m) for m in MONEY])
 

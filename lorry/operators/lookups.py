@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorry.functions.columns import account_segment
+from lorry.operators.numbering import number_items
+from lorry.session import stage
 
 # Trace types listed on pickup and delivery stop lines; the
 # "pick up modification" variant lists 'Y' instead of '1' for pickups.
@@ -56,14 +58,21 @@ def first_trace(trace: DataFrame, types: dict[str, str], bills: DataFrame | None
     return tr.groupBy(F.col("detail_number").alias(key)).agg(*aggs)
 
 
+#: entries of one bill that are put into text at a time
+ENTRIES = 50_000
+
+
 def trace_list(trace: DataFrame, pickup_types: Sequence[str] = PICKUP_TRACE_TYPES,
-               delivery_types: Sequence[str] = DELIVERY_TRACE_TYPES, key: str = "detail_line_id") -> DataFrame:
+               delivery_types: Sequence[str] = DELIVERY_TRACE_TYPES, key: str = "detail_line_id", most: int = ENTRIES) -> DataFrame:
     """Per bill, the distinct ``DESC: NUMBER`` texts joined by ', ' for the
     pickup list (``trace_p``) and the delivery list (``trace_d``).
 
     The reference's LISTAGG has no order; we sort so results are stable.
     Distinct pairs are formed first (a shuffle on bill+text with map-side
-    de-duplication), so each bill's set holds only distinct entries.
+    de-duplication), so each bill's set holds only distinct entries.  A bill
+    with more than ``most`` of them is put together in two steps: its entries
+    are numbered across tasks, runs of ``most`` become text, and the texts of
+    the runs are joined in order.
     """
     item = F.concat(F.col("trace_desc"), F.lit(": "), F.col("trace_number"))
     pairs = (
@@ -77,17 +86,24 @@ def trace_list(trace: DataFrame, pickup_types: Sequence[str] = PICKUP_TRACE_TYPE
         .groupBy(key, "item")
         .agg(F.max("is_p").alias("is_p"), F.max("is_d").alias("is_d"))
     )
+    pairs = stage(pairs, "trace-entries")
 
     def joined(flag: str):
         return F.array_join(F.array_sort(F.collect_list(F.when(F.col(flag), F.col("item")))), ", ")
 
-    out = pairs.groupBy(key).agg(joined("is_p").alias("trace_p"), joined("is_d").alias("trace_d"))
     # an empty list is NULL in SQL's LISTAGG
-    return out.select(
-        key,
-        F.when(F.col("trace_p") != "", F.col("trace_p")).alias("trace_p"),
-        F.when(F.col("trace_d") != "", F.col("trace_d")).alias("trace_d"),
-    )
+    lists = [F.nullif(joined("is_p"), F.lit("")).alias("trace_p"), F.nullif(joined("is_d"), F.lit("")).alias("trace_d")]
+    long = stage(pairs.groupBy(key).count().where(F.col("count") > most).select(key), "long-lists")
+    if not long.take(1):
+        return pairs.groupBy(key).agg(*lists)
+    short = pairs.join(long, key, "left_anti").groupBy(key).agg(*lists)
+    rest = number_items(pairs.join(long, key, "left_semi").where("item is not null"), [key], [F.col("item")], out="nth")
+    runs = rest.groupBy(key, F.floor((F.col("nth") - 1) / most).alias("run")).agg(*lists)
+
+    def in_order(column: str):
+        return F.concat_ws(", ", F.transform(F.array_sort(F.collect_list(F.when(F.col(column).isNotNull(), F.struct("run", column)))), lambda x: x[column]))
+
+    return short.unionByName(runs.groupBy(key).agg(*[F.nullif(in_order(c), F.lit("")).alias(c) for c in ("trace_p", "trace_d")]))
 
 
 def notes_lookup(notes: DataFrame, prog_table: str, note_types: dict[str, str], key: str = "id_key") -> DataFrame:
@@ -124,9 +140,17 @@ def port_of_entry(customs: DataFrame, ace: DataFrame, aci: DataFrame, keep: Sequ
 
 def skid_units(tldtl: DataFrame, width: int = 20) -> DataFrame:
     """Distinct pallet-unit codes per order, concatenated without a
-    separator (sorted) and cut to ``width`` characters."""
-    return tldtl.groupBy("order_id").agg(
-        F.substring(F.array_join(F.array_sort(F.collect_set("pallet_units")), ""), 1, width).alias("skid_units")
+    separator (sorted) and cut to ``width`` characters.
+
+    Of an order's codes no more than the first ``width`` that are not empty,
+    and the empty one, can show; only these are collected.  The limit on the
+    rank is pushed below the shuffle by order, so an order of very many
+    distinct codes sends few rows from each task.
+    """
+    first = Window.partitionBy("order_id").orderBy(F.col("pallet_units").asc_nulls_last())
+    few = tldtl.select("order_id", "pallet_units").distinct().withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= width + 1)
+    return few.groupBy("order_id").agg(
+        F.substring(F.array_join(F.array_sort(F.collect_list("pallet_units")), ""), 1, width).alias("skid_units")
     )
 
 

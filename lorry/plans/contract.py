@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorry.operators.keys import Keys, restricted
 from lorry.operators.legs import carrier_spans, stop_number, terminal_flags
 from lorry.operators.lookups import PICKUP_TRACE_TYPES, notes_lookup, port_of_entry, trace_list
 from lorry.session import stage
@@ -73,24 +74,38 @@ def _stop(df: DataFrame, **cols) -> DataFrame:
 
 
 def stop_rows(t: Tables, leg_ids: DataFrame | None = None) -> DataFrame:
-    """The temp table of the procedure, for every selected leg."""
+    """The temp table of the procedure, for every selected leg.
+
+    For selected legs the bridge and the stop details are read for these legs,
+    the legs of their trips (and of the trips that their bridge rows name)
+    whole, and bills for what rides them.
+    """
+    legs = Keys((leg_ids, "ls_leg_id"), label="legs-asked") if leg_ids is not None else None
+    ilegdtl = restricted(t.ilegdtl, "ild_leg_id", legs)
+    legdtl = restricted(t.legdtl, "ld_leg_id", legs)
+    legsum, tlorder = t.legsum, t.tlorder
+    if legs is not None:
+        trips = Keys((legs.restrict(t.legsum, "ls_leg_id"), "ls_trip_number"), (ilegdtl, "ild_trip_number"), label="trips-asked")
+        legsum = trips.restrict(t.legsum, "ls_trip_number")
+        aboard = Keys((ilegdtl.filter(F.col("ild_res_type") == "F"), "ild_fb_id"), (legdtl, "ld_fb_id"), label="bills-aboard")
+        tlorder = aboard.restrict(t.tlorder, "detail_line_id")
     # carrier spans and flags look at the whole trip, also for a part of its legs
-    all_spans = stage(carrier_spans(t.legsum), "carrier-spans")
+    all_spans = stage(carrier_spans(legsum), "carrier-spans")
     # one row per selected leg, read by five producers: written once
-    flags = stage(terminal_flags(t.legsum, t.zone, leg_ids, all_spans), "contract-flags")
+    flags = stage(terminal_flags(legsum, t.zone, leg_ids, all_spans), "contract-flags")
     spans = all_spans.select(
         F.col("ls_trip_number").alias("_sp_trip"), F.col("ls_interliner").alias("_sp_carrier"),
         F.col("carrier_first_seq").alias("_sp_first"), F.col("carrier_last_seq").alias("_sp_last"),
     )
-    bills = t.tlorder.select("detail_line_id")
+    bills = tlorder.select("detail_line_id")
     bridge = (
-        t.ilegdtl.filter(F.col("ild_res_type") == "F")
+        ilegdtl.filter(F.col("ild_res_type") == "F")
         .select("ild_leg_id", F.col("ild_fb_id").alias("detail_line_id"), "ild_trip_number")
         .join(bills, "detail_line_id", "left_semi")
     )
-    stop_p = t.legdtl.filter((F.col("ld_pd") == "P") & (F.col("ld_type") == "F")).select(
+    stop_p = legdtl.filter((F.col("ld_pd") == "P") & (F.col("ld_type") == "F")).select(
         F.col("ld_leg_id").alias("_p_leg"), F.col("ld_fb_id").alias("_p_fb")).distinct()
-    stop_d = t.legdtl.filter((F.col("ld_pd") == "D") & (F.col("ld_type") == "F")).select(
+    stop_d = legdtl.filter((F.col("ld_pd") == "D") & (F.col("ld_type") == "F")).select(
         F.col("ld_leg_id").alias("_d_leg"), F.col("ld_fb_id").alias("_d_fb")).distinct()
 
     f_cols = [
@@ -125,7 +140,7 @@ def stop_rows(t: Tables, leg_ids: DataFrame | None = None) -> DataFrame:
     # 3./4. shipper pickups and consignee deliveries on non-terminal sides
     def shipper_side(flag: str, side: str, count: str) -> DataFrame:
         x = flags.filter(F.col(flag) == "False").select("ls_leg_id", count)
-        s = stop_number(t.legdtl, t.tlorder, side)
+        s = stop_number(legdtl, tlorder, side)
         y = x.join(s, x.ls_leg_id == s.ld_leg_id, "inner")
         return _stop(y, leg_id="ls_leg_id", ld_pd="ld_pd", ld_pd_order="ld_pd_order", detail_line_id="detail_line_id",
                      stop_no="stop_no", fbs_on_leg=count)
@@ -145,8 +160,10 @@ def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_t
     """R14 for the legs in ``leg_ids`` (a frame with ``ls_leg_id``), or all legs."""
     # the procedure's temp table, read by all three sections: written once
     stops = stop_rows(t, leg_ids)
-    if stage_stops:
+    if stage_stops or leg_ids is not None:
         stops = stage(stops, "contract-stops")
+    # a sheet of chosen legs: every lookup below is aggregated for the bills on it only
+    called = Keys((stops, "detail_line_id"), label="bills-called") if leg_ids is not None else None
     bill_cols = [
         "detail_line_id", "bill_number", "origin", "destination", "requested_equipmen",
         "pick_up_by", "pick_up_by_end", "deliver_by", "deliver_by_end",
@@ -156,11 +173,11 @@ def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_t
     ]
     # per bill on the sheet: the bill columns and every bill-keyed lookup, built
     # once (staged) and joined to the stop rows of both freight and instruction sections
-    tl = t.tlorder.select(*[F.col(c).alias(f"t_{c}") for c in bill_cols])
-    tl = tl.join(stops.select(F.col("detail_line_id").alias("t_detail_line_id")).distinct(), "t_detail_line_id", "left_semi")
-    traces = trace_list(t.trace, pickup_types=pickup_trace_types)
-    loc = notes_lookup(t.notes, "TLORDER", {"loc_note_p": "1", "loc_note_d": "2"}, key="_id_key")
-    customs = port_of_entry(t.tlorder_customs, t.edi_ace_res_codes, t.edi_aci_res_codes, keep=CUSTOMS)
+    tl = restricted(t.tlorder, "detail_line_id", called).select(*[F.col(c).alias(f"t_{c}") for c in bill_cols])
+    tl = tl if called is not None else tl.join(stops.select(F.col("detail_line_id").alias("t_detail_line_id")).distinct(), "t_detail_line_id", "left_semi")
+    traces = trace_list(restricted(t.trace, "detail_number", called), pickup_types=pickup_trace_types)
+    loc = notes_lookup(restricted(t.notes, "id_key", called.texts() if called else None), "TLORDER", {"loc_note_p": "1", "loc_note_d": "2"}, key="_id_key")
+    customs = port_of_entry(restricted(t.tlorder_customs, "detail_line_id", called), t.edi_ace_res_codes, t.edi_aci_res_codes, keep=CUSTOMS)
     customs = customs.withColumnRenamed("detail_line_id", "_c_id")
     b = tl.join(customs, tl.t_detail_line_id == customs._c_id, "left")
     b = b.join(traces.withColumnRenamed("detail_line_id", "_tr_id"), b.t_detail_line_id == F.col("_tr_id"), "left")
@@ -173,7 +190,8 @@ def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_t
     c2 = t.client.select(F.col("client_id").alias("_c2"), F.col("open_time").alias("destopen"),
                          F.col("close_time").alias("destclose"))
     b = b.join(c1, b.t_origin == c1._c1, "left").join(c2, b.t_destination == c2._c2, "left")
-    dirs = notes_lookup(t.notes, "CLIENT", {"_dir": "D"}, key="_dir_key")
+    clients = Keys((tl, "t_origin"), (tl, "t_destination"), label="clients-called").texts() if called else None
+    dirs = notes_lookup(restricted(t.notes, "id_key", clients), "CLIENT", {"_dir": "D"}, key="_dir_key")
     do = dirs.select(F.col("_dir_key").alias("_do_key"), F.col("_dir").alias("_dir_o"))
     dd = dirs.select(F.col("_dir_key").alias("_dd_key"), F.col("_dir").alias("_dir_d"))
     b = b.join(do, b.t_origin.cast("string") == do._do_key, "left").join(dd, b.t_destination.cast("string") == dd._dd_key, "left")
@@ -215,7 +233,7 @@ def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_t
     }
 
     # FREIGHT: one row per goods line (picked and deficit lines excluded)
-    goods = t.tldtl.filter((F.col("pick_id") == 0) & (F.col("deficit") == 0)).select(
+    goods = restricted(t.tldtl, "order_id", called).filter((F.col("pick_id") == 0) & (F.col("deficit") == 0)).select(
         F.col("order_id").alias("_g_id"), *GOODS, "sequence", "sort_order")
     fr = x.join(goods, x.detail_line_id == goods._g_id, "left")
     freight = fr.select(*[
@@ -230,7 +248,7 @@ def carrier_contract(t: Tables, leg_ids: DataFrame | None = None, pickup_trace_t
         return F.lit(None).cast(schema[c])
 
     # SHIP INSTRUCT: active instructions that apply to the stop's side or both
-    si = t.tlshipinstruct.filter(F.col("active") == "True").select(F.col("order_id").alias("_si_order"), "instruction_id")
+    si = restricted(t.tlshipinstruct, "order_id", called).filter(F.col("active") == "True").select(F.col("order_id").alias("_si_order"), "instruction_id")
     ins = t.shipinstruct.select(F.col("instruction_id").alias("_ins_id"), "applies_to", "instruction")
     sx = x.join(si, x.detail_line_id == si._si_order, "inner").join(ins, F.col("instruction_id") == ins._ins_id, "inner")
     sx = sx.filter((F.col("applies_to") == F.col("ld_pd")) | (F.col("applies_to") == "B"))

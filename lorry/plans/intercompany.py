@@ -12,8 +12,8 @@ Lineage variants are flags:
   terminal-labelled descriptions with four inner zone joins (a leg or trip
   with an unknown zone drops); ``'safe'`` the same labels through a
   de-duplicated zone lookup with left joins (unknown zones are kept).
-* ``date_range``: inclusive ``(begin, end)`` on the delivery date, written as
-  a half-open timestamp range so it prunes row groups.
+* ``date_range``: inclusive ``(begin, end)`` on the delivery date; a bill table
+  that is stored by month is read for these months only.
 * ``bill_prefix``: the stored-procedure form filters bill numbers instead.
 * ``trip_columns`` / ``skids``: the trip from/to, power unit and skid
   columns added in version 2.
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorry.functions.columns import prorate, share, text_key, zone_label
+from lorry.operators.keys import Keys
 from lorry.operators.legs import carrier_miles, carrier_pay, extra_charges
 from lorry.operators.lookups import safe_zone, skid_units
 from lorry.session import stage
@@ -40,10 +41,11 @@ def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix:
                  trip_columns: bool = True, skids: bool = True) -> DataFrame:
     if zones not in ("none", "inner", "safe"):
         raise ValueError(f"zones must be 'none', 'inner' or 'safe', not {zones!r}")
-    bills = t.tlorder.filter(F.col("extra_stops") != "Child")
+    bills = t.tlorder
     if date_range is not None:
         begin, end = (dt.date.fromisoformat(str(d)) for d in date_range)
-        bills = bills.filter((F.col("actual_delivery") >= F.lit(begin)) & (F.col("actual_delivery") < F.lit(end + dt.timedelta(days=1))))
+        bills = t.period("tlorder", "actual_delivery", begin, end)
+    bills = bills.filter(F.col("extra_stops") != "Child")
     if bill_prefix is not None:
         bills = bills.filter(F.col("bill_number").startswith(bill_prefix))
     bills = bills.select(
@@ -72,15 +74,20 @@ def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix:
              F.max(freight & F.col("_d")).alias("_d"), F.max(freight & F.col("_i")).alias("_i"))
         .filter(F.col("_d") & F.col("_i")).select("detail_line_id", "total_fb_miles")
     )
-    x = bills.join(per_bill, "detail_line_id", "inner")
+    split = stage(bills.join(per_bill, "detail_line_id", "inner"), "split-bills")
+    # their bills, numbers and trips restrict every lookup from here, below its aggregate
+    chosen, numbers = Keys((split, "detail_line_id"), label="split-ids"), Keys((split, "bill_number"), label="split-numbers")
+    rides = chosen.restrict(rides, "detail_line_id")
+    trips = Keys((rides, "ls_trip_number"), label="split-trips")
+    x = split
     if skids:
-        x = x.join(skid_units(t.tldtl).withColumnRenamed("order_id", "detail_line_id"), "detail_line_id", "left")
+        x = x.join(skid_units(chosen.restrict(t.tldtl, "order_id")).withColumnRenamed("order_id", "detail_line_id"), "detail_line_id", "left")
     # read back from a written table, both sides of the join have an exchange of their
     # own, so the rides of a hot bill can be split
-    x = stage(x, "split-bills").join(rides.drop("_d", "_i", "ild_res_type"), "detail_line_id", "inner")
+    x = x.join(rides.drop("_d", "_i", "ild_res_type"), "detail_line_id", "inner")
 
     # leg-keyed
-    pay = carrier_pay(t.order_interliner)
+    pay = carrier_pay(chosen.restrict(t.order_interliner, "detail_line_id"))
     x = x.join(
         pay, (x.detail_line_id == pay.detail_line_id) & (x.ls_interliner == pay.interliner_id), "left"
     ).drop(pay.detail_line_id)
@@ -88,11 +95,11 @@ def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix:
     # trip-keyed
     trip = t.trip.select("trip_number", "origin_zone", "destination_zone", "orig_zone_desc", "dest_zone_desc")
     x = x.join(trip, x.ls_trip_number == trip.trip_number, "inner")
-    cm = carrier_miles(t.legsum).withColumnRenamed("ls_trip_number", "_cm_trip").withColumnRenamed("ls_interliner", "_cm_carrier")
+    cm = carrier_miles(trips.restrict(t.legsum, "ls_trip_number")).withColumnRenamed("ls_trip_number", "_cm_trip").withColumnRenamed("ls_interliner", "_cm_carrier")
     x = x.join(cm, (x.ls_trip_number == cm._cm_trip) & (x.ls_interliner == cm._cm_carrier), "left")
 
     # bill-number keyed: extra-charge copies
-    extra = extra_charges(t.tlorder).select(
+    extra = extra_charges(t.tlorder, numbers).select(
         F.col("bill_number").alias("_xb"), *[F.col(m).alias(f"additional_{m}") for m in
                                              ("charges", "xcharges", "tax_1", "tax_2", "total_charges")]
     )

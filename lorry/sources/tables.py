@@ -16,6 +16,7 @@ re-deriving their inputs from the raw tables on every run.  Pass
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import weakref
 from collections.abc import Mapping
@@ -30,17 +31,27 @@ from lorry.sources.fixture_sql import BASE_TABLES, FIXTURES, closure, dependenci
 #: accessors by session, which they end with
 _CACHE: weakref.WeakKeyDictionary[SparkSession, dict[tuple, Tables]] = weakref.WeakKeyDictionary()
 # bump when the way tables are prepared changes (part of the prepared-table key)
-PREPARE_VERSION = "3"
+PREPARE_VERSION = "4"
+#: prepared tables that are stored by the month of a date column (:meth:`Tables.period`)
+BY_MONTH = {"tlorder": "actual_delivery"}
+#: the partition column of tables stored by month
+MONTH = "_month"
 
 
 def rtrim_strings(df: DataFrame) -> DataFrame:
     """Right-trim every text column on load: the source database ignores
     trailing blanks in comparisons (padded CHAR columns), Spark does not."""
-    cols = [F.rtrim(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
+    cols = [F.rtrim(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) and f.name != MONTH else F.col(f.name)
             for f in df.schema.fields]
     return df.select(*cols)
 
 
+def by_month(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with its partition column, rows of a month together: the files of
+    a month are as many as its size asks for."""
+    return df.withColumn(MONTH, F.date_format(column, "yyyy-MM")).hint("rebalance", MONTH)
+
+
 class Tables:
     """The fixture tables of a data directory."""
 
@@ -74,6 +85,25 @@ class Tables:
         deps = {d: self[d] for d in dependencies(name)}
         return rtrim_strings(self.spark.sql(FIXTURES[name], **deps))
 
+    def period(self, name: str, column: str, begin: dt.date, end: dt.date) -> DataFrame:
+        """The rows of a table whose date ``column`` lies from ``begin`` to
+        ``end`` (both included).  Of a table that is stored by the month of
+        that column, other months' files are not opened; else the half-open
+        timestamp range prunes row groups."""
+        stored = self._stored(name, column)
+        table = self[name] if stored is None else stored
+        if stored is not None:
+            table = table.where(F.col(MONTH).between(f"{begin:%Y-%m}", f"{end:%Y-%m}"))
+        column = F.col(column)
+        return table.where((column >= F.lit(begin)) & (column < F.lit(end + dt.timedelta(days=1)))).drop(MONTH)
+
+    def _stored(self, name: str, column: str) -> DataFrame | None:
+        """The table with its partition column, if it is stored by the month of ``column``."""
+        if not self.prepared or BY_MONTH.get(name) != column:
+            return None
+        self[name]  # written, if it is not yet
+        return self.spark.read.parquet(self._prepared_path(name))
+
     def _build(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -83,8 +113,11 @@ class Tables:
             return self._view(name)
         path = self._prepared_path(name)
         if not self._complete(path):
-            self._view(name).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+            if name in BY_MONTH:
+                by_month(self._view(name), BY_MONTH[name]).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+            else:
+                self._view(name).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path).drop(MONTH)
 
     def _prepared_path(self, name: str) -> str:
         h = hashlib.sha1()
@@ -131,13 +164,16 @@ class SourceTables(Tables):
     looked up in the session's catalog.  An unqualified name means the table
     of ``schema``, or else the only table of that name; an ambiguous or
     unknown name is a ``KeyError``.  Text columns are right-trimmed.
+    ``by_month`` names tables stored with a partition column ``_month``
+    (``yyyy-MM`` of the date column given, see :func:`by_month`).
     """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame | str] | None = None, schema: str | None = None,
-                 catalog: bool = False):
+                 catalog: bool = False, by_month: Mapping[str, str] | None = None):
         self.spark = spark
         self.schema = schema.lower() if schema else None
         self.catalog = catalog
+        self._by_month = {k.lower(): v for k, v in (by_month or {}).items()}
         self._sources = {k.lower(): v for k, v in (sources or {}).items()}
         self._frames = {}
 
@@ -145,6 +181,13 @@ class SourceTables(Tables):
         name = name.lower()
         if name not in self._frames:
             self._frames[name] = rtrim_strings(self._find(name))
+        return self._frames[name].drop(MONTH) if name in self._by_month else self._frames[name]
+
+    def _stored(self, name: str, column: str) -> DataFrame | None:
+        name = name.lower()
+        if self._by_month.get(name) != column:
+            return None
+        self[name]
         return self._frames[name]
 
     def _find(self, name: str) -> DataFrame:

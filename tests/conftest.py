@@ -34,6 +34,14 @@ class FrameTables:
     def __getitem__(self, name):
         return self._frames[name.lower()]
 
+    def period(self, *args):
+        from lorry.sources.tables import Tables
+
+        return Tables.period(self, *args)
+
+    def _stored(self, name, column):
+        return None
+
     def __getattr__(self, name):
         if name.startswith("_"):
             raise AttributeError(name)
