@@ -9,6 +9,7 @@ import uuid
 
 from lorry.functions.columns import text_key
 from lorry.functions.dates import parse_date
+from lorry.operators.reconcile import reconcile
 from lorry.session import ensure_checkpoint_dir
 from lorry.sources.pay_export import export_pay_report, read_pay_export
 from lorry.sources.tables import Tables
@@ -115,3 +116,32 @@ def pay_report_roundtrip(t: Tables, statement_date=None, negatives: str = "carry
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pay-export-{uuid.uuid4().hex}"
     export_pay_report(driver_pay_summary(t, statement_date, negatives), path)
     return read_pay_export(spark, path)
+
+
+REPORT_KEY = ("pay_type", "driver", "pay_date")
+
+
+def reconcile_export(t: Tables, path: str, statement_date=None, negatives: str = "carry") -> DataFrame:
+    """The rows in which report files at ``path`` and the R12b summary
+    differ: missing from the files, extra in them, or changed."""
+    return reconcile(driver_pay_summary(t, statement_date, negatives), read_pay_export(t.spark, path), REPORT_KEY, MEASURES)
+
+
+def altered_report(summary: DataFrame) -> DataFrame:
+    """The summary as a report that was edited by hand: by the day of the pay
+    date, rows are left out, get another net, or stand twice, and one day's
+    rows lose their hours."""
+    kind = F.dayofmonth("pay_date") % 7
+    kept = summary.where((kind != 0) | kind.isNull())
+    changed = kept.withColumn("net", F.when(kind == 1, (F.col("net") + F.lit(1)).cast(MONEY)).otherwise(F.col("net"))).withColumn(
+        "hours", F.when(kind == 2, F.lit(None).cast(MONEY)).otherwise(F.col("hours")))
+    return changed.unionByName(summary.where(kind == 3))
+
+
+def pay_reconciliation(t: Tables, statement_date=None, negatives: str = "carry", path: str | None = None) -> DataFrame:
+    """R12c on an altered report: it is written as layout files, read back and
+    compared with the summary."""
+    if path is None:
+        path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/pay-altered-{uuid.uuid4().hex}"
+    export_pay_report(altered_report(driver_pay_summary(t, statement_date, negatives)), path)
+    return reconcile_export(t, path, statement_date, negatives)

@@ -111,6 +111,7 @@ for _neg in ("carry", "show"):
     # one statement date
     register(f"driver_pay_day_{_neg}", lambda t, n=_neg: pay.driver_pay(t, STATEMENT_DATE, n), O.driver_pay_sql(_neg, STATEMENT_DATE))
 register("pay_report_roundtrip", lambda t: pay.pay_report_roundtrip(t), O.driver_pay_summary_sql("carry"))
+register("pay_reconciliation", lambda t: pay.pay_reconciliation(t), O.pay_reconciliation_sql("carry"))
 register("driver_pay_dates", lambda t: pay.driver_pay_dates(t, None, "12/31/2023"), O.driver_pay_dates_sql("2023-12-31"))
 register("pay_reallocation", lambda t: pay.pay_reallocation(t, "2024-12-31"), O.pay_reallocation_sql("2024-12-31"))
 register("invoiced_cutoff", lambda t: period.invoiced_cutoff(t, "2030-01-01", "1990-01-01", "2030-12-31"),
