@@ -166,7 +166,8 @@ def materialise(docs: DataFrame, ids: Column, path: str, width: int, end: int, p
     shards = max(1, -(-n // per_shard))
     (pieces.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot", "at").select("slot", "piece")
      .mapInArrow(record, "record binary").select(F.col("record").cast("string").alias("value"))
-     .write.option("lineSep", "\n").option("compression", "none").text(path))
+     # a shard is one file: a session's limit on records would start a second one
+     .write.option("lineSep", "\n").option("compression", "none").option("maxRecordsPerFile", 0).text(path))
     return layout
 
 
@@ -189,6 +190,8 @@ def read_shards(spark: SparkSession, layout: Layout, first_slot: int = 0) -> Dat
                 rows = raw.reshape(-1, stride)
                 if (rows[:, -1] != 10).any():
                     raise ValueError(f"shard {shard} has a record without its end")
+                if len(rows) != min(per_shard, n - shard * per_shard):
+                    raise ValueError(f"shard {shard} is not whole in one file: {len(rows)} records")
                 lo = max(0, first_slot - shard * per_shard)
                 for at in range(lo, len(rows), 4096):
                     part = np.ascontiguousarray(rows[at:at + 4096, :-1])

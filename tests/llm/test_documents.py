@@ -508,3 +508,34 @@ def test_shards_hold_the_stream_in_order(spark, tmp_path, documents):
     documents([]).write.parquet(str(tmp_path / "e"))
     none = order.materialise(spark.read.parquet(str(tmp_path / "e")), F.col("text").cast("binary"), f"{path}-none", 1, 255, 254)
     assert none.sequences == 0 and order.read_shards(spark, none).count() == 0
+
+
+def test_a_limit_on_records_per_file_does_not_move_slots(spark, tmp_path, documents):
+    documents([(i, "abc" * (i + 5)) for i in range(60)]).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        layout = order.materialise(docs, F.col("text").cast("binary"), path, 1, 255, 254, length=16, per_shard=50)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    got = order.read_shards(spark, layout).collect()
+    assert sorted(r.slot for r in got) == list(range(layout.sequences)) and layout.sequences > 150
+    stream = b"".join(r.text.encode() + b"\xff" for r in docs.select("_metadata.file_path", "_metadata.row_index", "text").orderBy("file_path", "row_index").collect())
+    assert all(bytes(r.ids) == stream[16 * r.sequence:16 * r.sequence + 16].ljust(16, b"\xfe") for r in got)
+    # a shard in two files is refused
+    with pytest.raises(Exception, match="not whole in one file"):
+        order.read_shards(spark, layout._replace(per_shard=60)).collect()
+
+
+def test_the_training_order_query_holds_the_stream(spark, sf_dir):
+    from lorry.llm.q_order import op3_training_order
+
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("_metadata.file_path", "_metadata.row_index", "text").orderBy("file_path", "row_index").collect()
+    stream = b"".join((r.text or "").encode() + b"\xff" for r in rows)
+    n = -(-len(stream) // 512)
+    got = op3_training_order(spark, sf_dir).collect()
+    assert sorted(r.slot for r in got) == list(range(n)) == sorted(r.sequence for r in got)
+    for r in got:
+        own = stream[512 * r.sequence:512 * r.sequence + 512]
+        assert r.ids_sha256 == hashlib.sha256(own.ljust(512, b"\xfe")).hexdigest() and r.n_tokens == len(own)
