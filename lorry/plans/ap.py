@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from lorry.functions.columns import (
     AP_EXPENSE_ACCOUNT, abs_amount, account_segment, credit_sign, gl_line_code, signed_amount, text_key,
 )
+from lorry.operators.item_store import ItemNumbers
 from lorry.operators.legs import leg_trip
 from lorry.operators.numbering import number_items
 from lorry.sources.tables import Tables
@@ -40,7 +41,7 @@ def _constants() -> list[F.Column]:
 
 # --- R7: AP register --------------------------------------------------------
 
-def _ap_register(t: Tables, audit, method: str, keep: tuple[str, ...]) -> DataFrame:
+def _ap_register(t: Tables, audit, method: str, keep: tuple[str, ...], numbers: ItemNumbers | None) -> DataFrame:
     a = t.ap_bill.filter((F.col("source_audit") > 0) & (F.col("source_reg") == "IP Register"))
     if audit is not None:
         a = a.filter(F.col("source_audit") == F.lit(audit))
@@ -49,12 +50,14 @@ def _ap_register(t: Tables, audit, method: str, keep: tuple[str, ...]) -> DataFr
     # numbering writes its rows, so only what the caller reads goes in
     x = x.select(*dict.fromkeys(["source_audit", "user3", "bill_number", "ap_bill_id", *keep]))
     order = [text_key("user3"), text_key("bill_number"), F.col("ap_bill_id")]
+    if numbers is not None:
+        return numbers.assign(x, ["source_audit"], "ap_bill_id", order, reads=("user3", "bill_number"))
     return number_items(x, ["source_audit"], order, method=method)
 
 
-def ap_register_header(t: Tables, audit=None, method: str = "range") -> DataFrame:
-    """R7 header. The gross amount is *not* negated for credits (only the lines are)."""
-    x = _ap_register(t, audit, method, ("tx_date", "tx_reference", "tx_amt"))
+def ap_register_header(t: Tables, audit=None, method: str = "range", numbers: ItemNumbers | None = None) -> DataFrame:
+    """R7 header; with ``numbers`` items come from (and go to) that store. The gross amount is *not* negated for credits (only the lines are)."""
+    x = _ap_register(t, audit, method, ("tx_date", "tx_reference", "tx_amt"), numbers)
     out = x.select(
         F.col("source_audit").alias("cntbtch"),
         "cntitem",
@@ -70,9 +73,9 @@ def ap_register_header(t: Tables, audit=None, method: str = "range") -> DataFram
     return out.orderBy("cntbtch", text_key("idcust"), text_key("idinvc"))
 
 
-def ap_register_detail(t: Tables, audit=None, method: str = "range") -> DataFrame:
+def ap_register_detail(t: Tables, audit=None, method: str = "range", numbers: ItemNumbers | None = None) -> DataFrame:
     """R7 detail: expense lines of the numbered bills, credits negated."""
-    x = _ap_register(t, audit, method, ("tx_type",)).select("ap_bill_id", "source_audit", "cntitem", "tx_type")
+    x = _ap_register(t, audit, method, ("tx_type",), numbers).select("ap_bill_id", "source_audit", "cntitem", "tx_type")
     lines = x.join(t.ap_bill_exp, "ap_bill_id", "inner")
     out = lines.select(
         F.col("source_audit").alias("cntbtch"),
@@ -138,20 +141,22 @@ def _header_cols(extra_after_vend: list | None = None) -> list:
     ]
 
 
-def ap_v1_header(t: Tables, as_of=None, method: str = "range") -> DataFrame:
+def ap_v1_header(t: Tables, as_of=None, method: str = "range", numbers: ItemNumbers | None = None) -> DataFrame:
     """One row per approved interliner bill with a non-zero accrual (ABS rule)."""
-    return _v1_header(t, as_of, method).select(*_header_cols()).orderBy("cntbtch", "cntitem")
+    return _v1_header(t, as_of, method, numbers).select(*_header_cols()).orderBy("cntbtch", "cntitem")
 
 
-def _v1_header(t: Tables, as_of, method: str) -> DataFrame:
+def _v1_header(t: Tables, as_of, method: str, numbers: ItemNumbers | None = None) -> DataFrame:
     g = _v1_groups(t, "abs").withColumn("cntbtch", _batch(as_of))
     order = [text_key("idvend"), text_key("idinvc"), F.col("order_interliner_id")]
+    if numbers is not None:
+        return numbers.assign(g, ["cntbtch"], "order_interliner_id", order, reads=("idvend", "idinvc"))
     return number_items(g, ["cntbtch"], order, method=method)
 
 
-def ap_v1_detail(t: Tables, as_of=None, method: str = "range") -> DataFrame:
+def ap_v1_detail(t: Tables, as_of=None, method: str = "range", numbers: ItemNumbers | None = None) -> DataFrame:
     """The raw expense lines of each header row (line grain)."""
-    h = _v1_header(t, as_of, method).select("cntbtch", "cntitem", "order_interliner_id")
+    h = _v1_header(t, as_of, method, numbers).select("cntbtch", "cntitem", "order_interliner_id")
     lines = t.ip_gl.filter((F.col("source_type") == IP_SOURCE) & (F.col("acct_code") == AP_EXPENSE_ACCOUNT))
     d = h.join(lines, "order_interliner_id", "inner")
     out = d.select(

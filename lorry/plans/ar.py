@@ -7,18 +7,26 @@ One function per page, with the lineage variants as parameters:
   per batch, so all batches are computed together).
 * ``company``: ``'control'`` / ``'trucking'`` restricts to bills with a GL
   line in that company's receivable accounts (B7); ``None`` keeps all.
+* ``numbers``: a store of item numbers (:class:`ItemNumbers`): both pages take
+  theirs from it, so they are given once and stay as they are when later
+  batches arrive.  A store holds one numbering, so pages that number after a
+  company filter need one of their own.
 * ``number``: ``'before'`` numbers every bill of the batch and filters
   afterwards (gaps stay); ``'after'`` filters first (contiguous numbers).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorry.functions.columns import account_segment, company_accounts, gl_line_code, text_key
+from lorry.operators.item_store import ItemNumbers
 from lorry.operators.lookups import first_trace, latest_audit
 from lorry.operators.numbering import number_items
+from lorry.session import ensure_checkpoint_dir
 from lorry.sources.tables import Tables
 
 
@@ -41,17 +49,19 @@ def _with_company_gl(t: Tables, bills: DataFrame, company: str) -> DataFrame:
     return bills.join(gl, "detail_line_id", "left_semi")
 
 
-def _number(bills: DataFrame, method: str) -> DataFrame:
+def _number(bills: DataFrame, method: str, numbers: ItemNumbers | None = None) -> DataFrame:
     order = [
         text_key("user3"),
         text_key("bill_number"),
         F.col("detail_line_id").asc_nulls_last(),  # unique last key: deterministic
     ]
+    if numbers is not None:
+        return numbers.assign(bills, ["interface_status_f"], "detail_line_id", order, reads=("user3", "bill_number"))
     return number_items(bills, ["interface_status_f"], order, out="cntitem", method=method)
 
 
 def ar_header(t: Tables, company: str | None = None, audit=None, number: str = "after",
-              method: str = "range") -> DataFrame:
+              method: str = "range", numbers: ItemNumbers | None = None) -> DataFrame:
     """Invoice headers: CNTBTCH, CNTITEM, IDCUST, IDINVC, TEXTTRX, CUSTPO, AMTINVCTOT, SWMANTX.
 
     R1 = (company=None, audit=n); R3 = (company, audit=n, number='after');
@@ -62,7 +72,7 @@ def ar_header(t: Tables, company: str | None = None, audit=None, number: str = "
         bills = _with_company_gl(t, bills, company)
     po = first_trace(t.trace, {"custpo": "P"}, bills=bills)
     bills = bills.join(po, "detail_line_id", "left")
-    numbered = _number(bills, method)
+    numbered = _number(bills, method, numbers)
     if company is not None and number == "before":
         numbered = _with_company_gl(t, numbered, company)
     out = numbered.select(
@@ -79,13 +89,13 @@ def ar_header(t: Tables, company: str | None = None, audit=None, number: str = "
 
 
 def ar_detail(t: Tables, company: str | None = None, audit=None, segment: bool = False,
-              absolute: bool = False, method: str = "range") -> DataFrame:
+              absolute: bool = False, method: str = "range", numbers: ItemNumbers | None = None) -> DataFrame:
     """GL lines of the numbered bills: CNTBTCH, CNTITEM, CNTLINE, QTYINVC, AMOUNT,
     IDACCTREV, DISTNETHC, AMTECTNHC.  Bills are numbered before the account filter.
 
     R2 = (None, n); R4 = (company, n, segment); R6 = (company, 'latest', True, True).
     """
-    numbered = _number(_bills(t, audit), method)
+    numbered = _number(_bills(t, audit), method, numbers)
     gl = t.billgl
     if company is not None:
         gl = gl.filter(F.col("acct_code").isin(*company_accounts(company)))
@@ -135,3 +145,16 @@ def ar_header_current(t: Tables, company: str) -> DataFrame:
 def ar_detail_current(t: Tables, company: str) -> DataFrame:
     """Latest batch, absolute amounts, account segment."""
     return ar_detail(t, company, "latest", segment=True, absolute=True)
+
+
+def ar_detail_late_batch(t: Tables, path: str | None = None) -> DataFrame:
+    """R2 from stored numbers: all batches but the newest are numbered by a run
+    of the header page, then the newest arrives and the detail page of all
+    batches is asked for."""
+    if path is None:
+        path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/ar-items-{uuid.uuid4().hex}"
+    numbers = ItemNumbers(t.spark, path)
+    bills = _bills(t, None)
+    newest = bills.agg(F.max("interface_status_f").alias("newest"))  # exactly one row
+    _number(bills.join(F.broadcast(newest), bills.interface_status_f < newest.newest, "left_semi"), "range", numbers)
+    return ar_detail(t, numbers=numbers)

@@ -43,6 +43,8 @@ for _co in ("control", "trucking"):
 AUDIT = 199503
 register("ar_header_audit", lambda t: ar.ar_header_all(t, AUDIT), O.ar_header_sql(None, AUDIT))
 register("ar_detail_audit", lambda t: ar.ar_detail_all(t, AUDIT), O.ar_detail_sql(None, AUDIT))
+# item numbers kept in a store: the newest batch arrives after the others were numbered
+register("ar_detail_late_batch", lambda t: ar.ar_detail_late_batch(t), O.ar_detail_sql())
 register("account_quality", lambda t: LK.account_quality(t.billgl), O.ACCOUNT_QUALITY)
 
 
