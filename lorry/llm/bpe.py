@@ -263,19 +263,20 @@ def _digest(ranks: dict[bytes, int], pattern: str) -> str:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = ("doc_id",),
-           text: str = "text", decoded: bool = False, entries: int = CACHE_ENTRIES) -> DataFrame:
+           text: str = "text", decoded: bool = False, entries: int = CACHE_ENTRIES, lasting: bool = True) -> DataFrame:
     """``keep`` columns, ``ids`` (binary, little-endian unsigned 32-bit) and
     ``n_tokens`` of every row; with ``decoded`` also the bytes that the ids
     decode to.  The vocabulary is broadcast; its size is that of a vocabulary
     file, whatever the corpus holds.  ``entries`` bounds what a worker keeps
-    of strings met before (some 300 bytes each)."""
+    of strings met before (some 300 bytes each), and without ``lasting`` it
+    keeps them for a task only."""
     sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern, _digest(ranks, pattern)))
     names = [*keep, "ids", "n_tokens"] + ["decoded"] * decoded
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = sent.value[2]
-        encoder = worker_object(f"encoder:{entries}:{key}", lambda: Encoder(*sent.value[:2], entries))
-        back = worker_object("decoder:" + key, lambda: Decoder(sent.value[0])).decode
+        encoder = worker_object(f"encoder:{entries}:{key}", lambda: Encoder(*sent.value[:2], entries)) if lasting else Encoder(*sent.value[:2], entries)
+        back = worker_object("decoder:" + key, lambda: Decoder(sent.value[0])).decode if decoded else None
         for whole in it:
             for b in slices(whole, text):
                 ids = [encoder.encode(t) if t else b"" for t in b.column(text).to_pylist()]

@@ -39,7 +39,6 @@ import hmac
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -287,9 +286,9 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
 def _without_collisions(own: DataFrame, key: bytes) -> DataFrame:
     """``kind, form, surrogate``; values are compared as written, a given name's without its gender."""
 
-    @F.pandas_udf("string")
-    def named(kind: pd.Series, form: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(a, b, int(c), key) for a, b, c in zip(kind, form, attempt, strict=True)], dtype=object)
+    @F.arrow_udf("string")
+    def named(kind: pa.Array, form: pa.Array, attempt: pa.Array) -> pa.Array:
+        return pa.array([surrogate(a, b, c, key) for a, b, c in zip(kind.to_pylist(), form.to_pylist(), attempt.to_pylist(), strict=True)], pa.string())
 
     given = stage(own.withColumn("attempt", F.lit(0)).withColumn("surrogate", named("kind", "form", "attempt")), "surrogates")
     while True:
