@@ -52,7 +52,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (little-endian unsigned 32-bit integers)."""
     small_batches(spark)
     ranks, pattern = vocabulary()
-    return bpe.encode(docs, ranks, pattern, keep=("doc_id", "lang", "source"), entries=150_000).select("doc_id", "lang", "source", "n_tokens", "ids")
+    # workers of the stages before are kept: what is remembered of strings is small and goes with its task
+    encoded = bpe.encode(docs, ranks, pattern, keep=("doc_id", "lang", "source"), entries=60_000, lasting=False)
+    return encoded.select("doc_id", "lang", "source", "n_tokens", "ids")
 
 
 STAGES = [
