@@ -149,10 +149,10 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list
 class Encoder:
     """Encodes texts with one vocabulary; keeps results of short strings."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int = CACHE_ENTRIES):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int | None = None):
         import regex
 
-        self.entries = entries
+        self.entries = entries or CACHE_ENTRIES
         self.ranks, self.queue = ranks, RankQueue(max(ranks.values()) + 1)
         self.find = regex.compile(pattern).findall
         # a cut before a space is no boundary inside a run of white space
@@ -263,7 +263,7 @@ def _digest(ranks: dict[bytes, int], pattern: str) -> str:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = ("doc_id",),
-           text: str = "text", decoded: bool = False, entries: int = CACHE_ENTRIES, lasting: bool = True) -> DataFrame:
+           text: str = "text", decoded: bool = False, entries: int | None = None, lasting: bool = True) -> DataFrame:
     """``keep`` columns, ``ids`` (binary, little-endian unsigned 32-bit) and
     ``n_tokens`` of every row; with ``decoded`` also the bytes that the ids
     decode to.  The vocabulary is broadcast; its size is that of a vocabulary
