@@ -281,7 +281,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[s
             for b in slices(whole, text):
                 ids = [encoder.encode(t) if t else b"" for t in b.column(text).to_pylist()]
                 out = [b.column(c) for c in keep] + [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
-                yield pa.RecordBatch.from_arrays(out + [pa.array([back(x) for x in ids], pa.binary())] * decoded, names)
+                if decoded:
+                    out.append(pa.array([back(x) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(out, names)
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(
