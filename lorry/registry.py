@@ -6,13 +6,15 @@ the same table.  Each Spark job reads the whole fixture tables at ``sf_dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lorry import oracle as O
 from lorry.operators import legs as LG, lookups as LK
-from lorry.plans import ap, ar, contract, intercompany as ic, margin, pay, period, trips
+from lorry.plans import ap, ar, contract, intercompany as ic, margin, pay, period, stop_sheet, trips
+from lorry.session import ensure_checkpoint_dir
 from lorry.sources.tables import Tables
 
 Job = Callable[[Tables], DataFrame]
@@ -126,6 +128,10 @@ register("gross_margin", margin.gross_margin, O.GROSS_MARGIN)
 
 # --- carrier contract (R14) ------------------------------------------------------------
 register("contract_stop_rows", lambda t: contract.stop_rows(t), O.contract_stop_rows_sql())
+# the kept table, brought up to date from an earlier version of legs, stop details and bills
+register("contract_stops_after_changes",
+         lambda t: stop_sheet.stops_after_changes(t, f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/stop-sheet-{uuid.uuid4().hex}"),
+         O.contract_stop_rows_sql())
 register("carrier_contract", lambda t: contract.carrier_contract(t), O.carrier_contract_sql())
 # the "pick up modification" source: pickup traces list type 'Y' instead of '1'
 register("carrier_contract_pickup_y", lambda t: contract.carrier_contract(t, pickup_trace_types=LK.PICKUP_TRACE_TYPES_Y),
