@@ -11,6 +11,8 @@ One function per page, with the lineage variants as parameters:
   theirs from it, so they are given once and stay as they are when later
   batches arrive.  A store holds one numbering, so pages that number after a
   company filter need one of their own.
+* ``watch``: counts, while the page is computed, bills whose customer is
+  missing or doubled and lines whose account has no segment.
 * ``number``: ``'before'`` numbers every bill of the batch and filters
   afterwards (gaps stay); ``'after'`` filters first (contiguous numbers).
 """
@@ -26,11 +28,12 @@ from lorry.functions.columns import account_segment, company_accounts, gl_line_c
 from lorry.operators.item_store import ItemNumbers
 from lorry.operators.lookups import first_trace, latest_audit
 from lorry.operators.numbering import number_items
+from lorry.operators.watch import Watch, look_up
 from lorry.session import ensure_checkpoint_dir
 from lorry.sources.tables import Tables
 
 
-def _bills(t: Tables, audit) -> DataFrame:
+def _bills(t: Tables, audit, watch: Watch | None = None) -> DataFrame:
     """Non-child bills of the chosen batch(es) with their customer code."""
     bills = t.tlorder.filter((F.col("interface_status_f") > 0) & (F.col("extra_stops") != "Child"))
     if audit == "latest":
@@ -40,7 +43,7 @@ def _bills(t: Tables, audit) -> DataFrame:
         bills = bills.filter(F.col("interface_status_f") == F.lit(audit))
     client = t.client.select("client_id", "user3")
     bills = bills.select("detail_line_id", "interface_status_f", "bill_number", "bill_to_code", "total_charges")
-    return bills.join(client, bills.bill_to_code == client.client_id, "inner")
+    return look_up(watch, bills, client, "client_id", bills.bill_to_code == client.client_id, "client of a bill")
 
 
 def _with_company_gl(t: Tables, bills: DataFrame, company: str) -> DataFrame:
@@ -61,13 +64,13 @@ def _number(bills: DataFrame, method: str, numbers: ItemNumbers | None = None) -
 
 
 def ar_header(t: Tables, company: str | None = None, audit=None, number: str = "after",
-              method: str = "range", numbers: ItemNumbers | None = None) -> DataFrame:
+              method: str = "range", numbers: ItemNumbers | None = None, watch: Watch | None = None) -> DataFrame:
     """Invoice headers: CNTBTCH, CNTITEM, IDCUST, IDINVC, TEXTTRX, CUSTPO, AMTINVCTOT, SWMANTX.
 
     R1 = (company=None, audit=n); R3 = (company, audit=n, number='after');
     R5 = (company, audit='latest', number='before').
     """
-    bills = _bills(t, audit)
+    bills = _bills(t, audit, watch)
     if company is not None and number == "after":
         bills = _with_company_gl(t, bills, company)
     po = first_trace(t.trace, {"custpo": "P"}, bills=bills)
@@ -89,17 +92,20 @@ def ar_header(t: Tables, company: str | None = None, audit=None, number: str = "
 
 
 def ar_detail(t: Tables, company: str | None = None, audit=None, segment: bool = False,
-              absolute: bool = False, method: str = "range", numbers: ItemNumbers | None = None) -> DataFrame:
+              absolute: bool = False, method: str = "range", numbers: ItemNumbers | None = None,
+              watch: Watch | None = None) -> DataFrame:
     """GL lines of the numbered bills: CNTBTCH, CNTITEM, CNTLINE, QTYINVC, AMOUNT,
     IDACCTREV, DISTNETHC, AMTECTNHC.  Bills are numbered before the account filter.
 
     R2 = (None, n); R4 = (company, n, segment); R6 = (company, 'latest', True, True).
     """
-    numbered = _number(_bills(t, audit), method, numbers)
+    numbered = _number(_bills(t, audit, watch), method, numbers)
     gl = t.billgl
     if company is not None:
         gl = gl.filter(F.col("acct_code").isin(*company_accounts(company)))
     lines = numbered.select("detail_line_id", "interface_status_f", "cntitem").join(gl, "detail_line_id", "inner")
+    if watch is not None:
+        lines = watch.count(lines, "account without a segment", account_segment("acct_code").isNull())
     amount = F.abs(F.col("amount")) if absolute else F.col("amount")
     acct = account_segment("acct_code") if segment else F.col("acct_code")
     out = lines.select(

@@ -15,6 +15,8 @@ Lineage variants are flags:
 * ``date_range``: inclusive ``(begin, end)`` on the delivery date; a bill table
   that is stored by month is read for these months only.
 * ``bill_prefix``: the stored-procedure form filters bill numbers instead.
+* ``watch`` counts legs whose trip or zones are missing or doubled (the inner
+  zone joins fan out on a doubled zone; the ``'safe'`` form cannot).
 * ``trip_columns`` / ``skids``: the trip from/to, power unit and skid
   columns added in version 2.
 
@@ -33,12 +35,13 @@ from lorry.functions.columns import prorate, share, text_key, zone_label
 from lorry.operators.keys import Keys
 from lorry.operators.legs import carrier_miles, carrier_pay, extra_charges
 from lorry.operators.lookups import safe_zone, skid_units
+from lorry.operators.watch import Watch, look_up
 from lorry.session import stage
 from lorry.sources.tables import Tables
 
 
 def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix: str | None = None,
-                 trip_columns: bool = True, skids: bool = True) -> DataFrame:
+                 trip_columns: bool = True, skids: bool = True, watch: Watch | None = None) -> DataFrame:
     if zones not in ("none", "inner", "safe"):
         raise ValueError(f"zones must be 'none', 'inner' or 'safe', not {zones!r}")
     bills = t.tlorder
@@ -94,7 +97,7 @@ def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix:
 
     # trip-keyed
     trip = t.trip.select("trip_number", "origin_zone", "destination_zone", "orig_zone_desc", "dest_zone_desc")
-    x = x.join(trip, x.ls_trip_number == trip.trip_number, "inner")
+    x = look_up(watch, x, trip, "trip_number", x.ls_trip_number == trip.trip_number, "trip of a leg")
     cm = carrier_miles(trips.restrict(t.legsum, "ls_trip_number")).withColumnRenamed("ls_trip_number", "_cm_trip").withColumnRenamed("ls_interliner", "_cm_carrier")
     x = x.join(cm, (x.ls_trip_number == cm._cm_trip) & (x.ls_interliner == cm._cm_carrier), "left")
 
@@ -117,7 +120,7 @@ def intercompany(t: Tables, zones: str = "inner", date_range=None, bill_prefix:
                                 ("lzf", "ls_from_zone", "lego_zone_desc"), ("lzt", "ls_to_zone", "legd_zone_desc")):
             zr = z.select(F.col("zone_id").alias(f"{role}_id"), F.col("province").alias(f"{role}_prov"),
                           F.col("is_terminal").alias(f"{role}_term"))
-            x = x.join(zr, x[key] == zr[f"{role}_id"], how)
+            x = look_up(watch, x, zr, f"{role}_id", x[key] == zr[f"{role}_id"], f"zone of {key}", how)
             labels[role] = zone_label(desc, f"{role}_term", f"{role}_prov")
         labels = {"trip_from": labels["tzf"], "trip_to": labels["tzt"], "leg_from": labels["lzf"], "leg_to": labels["lzt"]}
 
