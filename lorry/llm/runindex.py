@@ -45,8 +45,11 @@ class RunIndex:
         short = left < FIRST
         cut = np.int64(512) ** np.maximum(FIRST - left, 0)
         key = np.where(short, key // cut * cut, key)
-        # equal short suffixes differ in their end marks: a second key breaks the tie
-        order = np.lexsort((np.where(short, self.string, -1), key))
+        # equal short suffixes differ in their end marks: a second key breaks the tie (a key
+        # is short or not, so the short ones are put in order among their own places)
+        order = np.argsort(key)
+        few = np.flatnonzero(short)
+        order[short[order]] = few[np.lexsort((self.string[few], key[few]))]
         new = np.ones(n, bool)
         k, t = key[order], np.where(short, self.string, -1)[order]
         new[1:] = (k[1:] != k[:-1]) | (t[1:] != t[:-1])
@@ -59,7 +62,7 @@ class RunIndex:
             follow[:max(0, n - step)] = rank[step:]
             follow[left < step] = 0  # the rank is already that of a whole suffix
             pair = rank * n + follow
-            order = np.argsort(pair, kind="stable")
+            order = np.argsort(pair)  # equal pairs get one rank, in whatever order
             p = pair[order]
             new[1:] = p[1:] != p[:-1]
             rank = np.empty(n, np.int64)
