@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 
 from lorry.llm import textvec as tv
 
+# Fixed value: the split pattern that never carries a match over a single space into the next word.
+SPACE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: strings kept per worker: two generations of this many, of at most this length
 CACHE_ENTRIES = 600_000
 CACHE_PIECE = 64
@@ -153,6 +155,7 @@ class Encoder:
         import regex
 
         self.entries = entries or CACHE_ENTRIES
+        self.at_spaces = pattern == SPACE_PATTERN
         self.ranks, self.queue = ranks, RankQueue(max(ranks.values()) + 1)
         self.find = regex.compile(pattern).findall
         # a cut before a space is no boundary inside a run of white space
@@ -190,11 +193,12 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
-        The pattern never carries a match over a single space into the next
-        word, so a text is cut before such spaces and each string is looked
-        up; a text with longer white space around a space is matched whole.
+        ``SPACE_PATTERN`` never carries a match over a single space into the
+        next word, so a text is cut before such spaces and each string is
+        looked up; a text with longer white space around a space, and any text
+        under another pattern, is matched whole.
         """
-        if self.run(text):
+        if not self.at_spaces or self.run(text):
             return b"".join(map(self.piece, self.find(text)))
         head, *rest = text.split(" ")
         get, out = self.kept.get, []

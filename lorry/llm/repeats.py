@@ -41,7 +41,7 @@ from lorry.llm.graph import in_filter
 from lorry.llm.runindex import RunIndex
 from lorry.session import stage
 
-DEPTH, GRAM = 50, 28
+DEPTH, GRAM = 50, 22
 WINDOW = DEPTH - GRAM + 1  # grams in a string
 SIDE = DEPTH - GRAM  # bytes of context on either side of an anchor
 #: one anchor in so many cuts a segment, if the last candidate is at least GAP bytes away

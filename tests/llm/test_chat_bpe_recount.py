@@ -119,6 +119,20 @@ def test_bpe_cache_generations(vocab, reference, monkeypatch):
     assert len(encoder.kept) <= 7 and len(encoder.older) <= 7
 
 
+def test_bpe_of_another_pattern(vocab, reference):
+    import tiktoken
+
+    from lorry.llm.bpe import SPACE_PATTERN
+
+    ranks, own = vocab
+    assert own == SPACE_PATTERN  # so the registered query takes the fast path
+    pattern = r"[^\n]+|\n"  # matches over spaces
+    whole = tiktoken.Encoding("lines", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoder = bpe.Encoder(ranks, pattern)
+    texts = [*_texts(100, 60, 21), "two words here", " a b\n c d ", "one  two"]
+    assert [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in texts] == [whole(t) for t in texts]
+
+
 def test_bpe_rows(documents, vocab, reference):
     rows = [(1, "Hello <|endoftext|> world"), (2, None), (3, ""), (None, "no id"), (1, "Hello <|endoftext|> world"), (4, "w" * 300000)]
     df = documents(rows)
