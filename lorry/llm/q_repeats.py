@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorry.llm import repeats
-from lorry.session import small_batches
 
 
 def op8_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the byte strings that smaller documents have."""
-    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return repeats.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
