@@ -5,7 +5,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from lorry.plans import margin
+from lorry.plans import contract, margin
 from lorry.sources import tables as sources
 from lorry.sources.tables import Tables
 
@@ -61,3 +61,42 @@ def test_only_raw_rows_move_into_months(spark, sf_dir, tmp_path, monkeypatch):
     got = spark.read.parquet(f"{tmp_path}/tlorder").drop("_month")
     want = Tables(spark, sf_dir, prepared=False).tlorder
     assert got.count() == want.count() and not want.select(*got.columns).exceptAll(got).take(1)
+
+
+def test_terminal_texts_come_last(spark, sf_dir):
+    t = Tables.at(spark, sf_dir)
+    df = contract.stop_rows(t)  # the zones are few: broadcast
+    assert moved(spark, df, "term_origaddr1") == 0
+
+
+def test_bills_of_a_sheet_move_for_their_ids_and_dimensions_only(spark, sf_dir, monkeypatch):
+    t = Tables.at(spark, sf_dir)
+    seen = {}
+    monkeypatch.setattr(contract, "stage", lambda df, label, real=contract.stage: seen.setdefault(label, df) and real(df, label))
+    with settings(spark, **UNJOINED):
+        contract.carrier_contract(t)
+        assert moved(spark, seen["contract-bills"], "t_origaddr1") == 2
+
+
+def test_a_doubled_zone_doubles_its_stops_once(spark, frames):
+    import datetime as dt
+
+    at = dt.datetime(2024, 1, 1)
+    legsum = spark.createDataFrame(
+        [(1, 10, 1, 7, "L", 3, 4, at, at, 1, 1)],
+        "ls_leg_id long, ls_trip_number long, ls_leg_seq int, ls_interliner long, ls_mt_loaded string, ls_from_zone int, ls_to_zone int, "
+        "ls_planned_departure timestamp_ntz, ls_expected_date timestamp_ntz, ls_num_pu long, ls_num_del long")
+    zone = spark.createDataFrame(
+        [(3, "True", "A", "a", "b", "c", "d", "e"), (3, "True", "B", "a", "b", "c", "d", "e"), (4, "False", "C", "a", "b", "c", "d", "e")],
+        "zone_id int, is_terminal string, short_description string, address1 string, address2 string, city string, province string, postal_code string")
+    # one bill rides on the leg's own trip, one was booked on another trip of the same carrier, one on none
+    ilegdtl = spark.createDataFrame([(1, "F", 100, 10), (1, "F", 101, 11), (1, "F", 102, None)],
+                                    "ild_leg_id long, ild_res_type string, ild_fb_id long, ild_trip_number long")
+    legdtl = spark.createDataFrame([(1, "P", "F", 102, 2), (1, "D", "F", 100, 5), (1, "D", "F", 101, 4)],
+                                   "ld_leg_id long, ld_pd string, ld_type string, ld_fb_id long, ld_pd_order int")
+    tlorder = spark.createDataFrame([(100, "N", 1, "M", 2), (101, "N", 1, "M", 2), (102, "N", 1, "M", 2)],
+                                    "detail_line_id long, origname string, start_zone int, destname string, end_zone int")
+    t = frames(legsum=legsum, zone=zone, ilegdtl=ilegdtl, legdtl=legdtl, tlorder=tlorder)
+    got = sorted((r.ld_pd, r.detail_line_id, r.term_origname or "", r.stop_no) for r in contract.stop_rows(t).collect())
+    assert got == [("D", 100, "", 4), ("D", 100, "", 4), ("D", 101, "", 4), ("D", 101, "", 4),
+                   ("P", 100, "A", 1), ("P", 100, "B", 1), ("P", 102, "A", 1), ("P", 102, "B", 1)]
