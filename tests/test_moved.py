@@ -5,7 +5,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from lorry.plans import contract, margin
+from lorry.plans import contract, intercompany, margin
 from lorry.sources import tables as sources
 from lorry.sources.tables import Tables
 
@@ -100,3 +100,27 @@ def test_a_doubled_zone_doubles_its_stops_once(spark, frames):
     got = sorted((r.ld_pd, r.detail_line_id, r.term_origname or "", r.stop_no) for r in contract.stop_rows(t).collect())
     assert got == [("D", 100, "", 4), ("D", 100, "", 4), ("D", 101, "", 4), ("D", 101, "", 4),
                    ("P", 100, "A", 1), ("P", 100, "B", 1), ("P", 102, "A", 1), ("P", 102, "B", 1)]
+
+
+def test_split_bills_and_their_legs_widen_in_the_last_join(spark, sf_dir):
+    t = Tables.at(spark, sf_dir)
+    with settings(spark, **UNJOINED):
+        df = intercompany.intercompany_v2(t, ("1990-01-01", "2030-12-31"))
+        # bills to their number and their id, then the sort
+        assert moved(spark, df, "origcity") + moved(spark, df, "shipper_city") == 3
+        # legs to their pay, their trip and their bill, then the sort
+        assert moved(spark, df, "ls_power_unit") == 4
+
+
+def test_views_read_once_are_not_stored(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    assert t.live("order_interliner").count() == Tables(spark, sf_dir, prepared=False).order_interliner.count()
+    assert "order_interliner" not in t._frames and t.live("lineitem").count() == t.lineitem.count()
+
+
+def test_legs_without_a_carrier_have_no_carrier_miles(spark):
+    legs = spark.createDataFrame([(1, 10, 7), (2, 10, None), (3, None, 7), (4, 11, 7)], "leg int, ls_trip_number int, ls_interliner int")
+    trip = spark.createDataFrame([(10, "a"), (10, "b")], "trip_number int, name string")  # doubled; 11 is missing
+    cm = spark.createDataFrame([(10, 7, 5), (10, None, 9), (11, 7, 3), (None, 7, 1)], "_cm_trip int, _cm_carrier int, total_carrier_miles long")
+    got = sorted((r.leg, r.name, r.total_carrier_miles) for r in intercompany._with_trip(legs, trip, cm, None).collect())
+    assert got == [(1, "a", 5), (1, "b", 5), (2, "a", None), (2, "b", None)]
