@@ -5,7 +5,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from lorry.plans import contract, intercompany, margin
+from lorry.operators import numbering
+from lorry.plans import ap, contract, intercompany, margin
 from lorry.sources import tables as sources
 from lorry.sources.tables import Tables
 
@@ -124,3 +125,17 @@ def test_legs_without_a_carrier_have_no_carrier_miles(spark):
     cm = spark.createDataFrame([(10, 7, 5), (10, None, 9), (11, 7, 3), (None, 7, 1)], "_cm_trip int, _cm_carrier int, total_carrier_miles long")
     got = sorted((r.leg, r.name, r.total_carrier_miles) for r in intercompany._with_trip(legs, trip, cm, None).collect())
     assert got == [(1, "a", 5), (1, "b", 5), (2, "a", None), (2, "b", None)]
+
+
+def test_payables_read_two_columns_of_legs_live(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    for report in (ap.ap_v3_header, ap.ap_v3_detail):
+        report(t, "2025-01-01")
+    assert "legsum" not in t._frames
+
+
+def test_detail_numbers_narrow_rows(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(numbering, "stage", lambda df, label, real=numbering.stage: seen.append(df.columns) or real(df, label))
+    ap.ap_v1_detail(Tables.at(spark, sf_dir), "2025-01-01")
+    assert len(seen) == 1 and not {"probill", "description", "amtgrostot"} & set(seen[0])
