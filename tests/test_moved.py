@@ -1,15 +1,18 @@
 """How often wide rows move: shuffles that carry a column, counted in a plan without broadcasts."""
 
+import decimal
 import re
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
 from lorry.operators import numbering
-from lorry.plans import ap, contract, intercompany, margin
+from lorry.plans import ap, ar, contract, intercompany, margin
 from lorry.sources import tables as sources
 from lorry.sources.tables import Tables
 
+D = decimal.Decimal
+
 
 @contextmanager
 def settings(spark, **conf):
@@ -51,6 +54,34 @@ def test_views_of_single_rows_are_not_copied(spark, sf_dir):
     assert t._complete(t._prepared_path("legsum"))
 
 
+def test_receivables_of_all_batches_store_no_tables(spark, sf_dir, tmp_path):
+    (tmp_path / "tables").symlink_to(sf_dir)  # what is stored is stored by path
+    t = Tables(spark, f"{tmp_path}/tables")
+    assert ar.ar_header_filtered(t, "trucking").count() > 0
+    assert not any(t._complete(t._prepared_path(name)) for name in ("tlorder", "billgl"))
+
+
+def test_receivables_read_bills_once_and_sort_narrow_rows(spark, frames):
+    t = frames(
+        tlorder=spark.createDataFrame([(1, "C1", 202501, "False", 10, D("1.00")), (1, "C1", 202501, "False", 10, D("1.00")),
+                                       (2, "C2", 202501, "False", 10, D("2.00")), (None, "C3", 202501, "False", 10, D("3.00"))],
+                                      "detail_line_id long, bill_number string, interface_status_f int, extra_stops string, bill_to_code long, total_charges decimal(18,2)"),
+        client=spark.createDataFrame([(10, "A")], "client_id long, user3 string"),
+        trace=spark.createDataFrame([(1, "P", "N2"), (1, "P", "N1"), (1, "1", "N0"), (2, "P", "N3"), (None, "P", "N4")],
+                                    "detail_number long, trace_type string, trace_number string"),
+        billgl=spark.createDataFrame([(1, "02-2200-00", D("-4.00")), (1, "02-3000-00", D("5.00")), (2, "01-2200-00", D("6.00")), (None, "02-2200-00", D("7.00"))],
+                                     "detail_line_id long, acct_code string, amount decimal(18,2)"),
+    )
+    header = ar.ar_header(t, "trucking", method="window")
+    assert header._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 4
+    assert [(r.cntitem, r.idinvc, r.custpo, r.texttrx) for r in header.collect()] == [(1, "C1", "N1", "1"), (2, "C1", "N1", "1")]
+    with settings(spark, **UNJOINED):
+        detail = ar.ar_detail(t, "trucking", method="window", segment=True, absolute=True)
+        assert moved(spark, header, "swmantx") == 0
+    assert [(r.cntitem, r.cntline, r.idacctrev, r.amount, r.distnethc) for r in detail.collect()] == [
+        (n, line, account, amount, amount) for n in (1, 2) for line, account, amount in (("20", "3000", D("5.00")), ("40", "2200", D("4.00")))]
+
+
 def test_only_raw_rows_move_into_months(spark, sf_dir, tmp_path, monkeypatch):
     t = Tables(spark, sf_dir)
     seen = []
