@@ -1,5 +1,6 @@
 """How often wide rows move: shuffles that carry a column, counted in a plan without broadcasts."""
 
+import datetime
 import decimal
 import re
 from contextlib import contextmanager
@@ -82,6 +83,32 @@ def test_receivables_read_bills_once_and_sort_narrow_rows(spark, frames):
         (n, line, account, amount, amount) for n in (1, 2) for line, account, amount in (("20", "3000", D("5.00")), ("40", "2200", D("4.00")))]
 
 
+def test_accruals_drop_empty_bills_before_they_move_on(spark, sf_dir, tmp_path, frames):
+    (tmp_path / "tables").symlink_to(sf_dir)  # what is stored is stored by path
+    t = Tables(spark, f"{tmp_path}/tables")
+    with settings(spark, **UNJOINED):
+        header = ap.ap_user3_header(t, "2025-05-01", method="window")
+        # to user fields and accruals, to bills, to vendors, to the numbering (the sort keeps its one partition)
+        assert moved(spark, header, "probill") == 4 and moved(spark, header, "swmantx") == 0
+    assert not t._complete(t._prepared_path("tlorder"))
+    day = datetime.date(2025, 4, 1)
+    oi = spark.createDataFrame([(1, 5, 100, 0, "M", "S", "PB1", day), (2, 6, 100, 200, "M", "S", "PB2", day), (3, None, None, 0, "S", "S", "PB3", None),
+                                (4, 5, 100, 0, "M", "S", "PB4", day), (5, 5, 100, 0, "M", "S", "PB5", day), (None, 5, 100, 0, "M", "S", "PB6", day)],
+                               "order_interliner_id long, interliner_id long, detail_line_id long, child_detail_line_id long, "
+                               "child_type string, interface_status string, probill string, src_approval_date date")
+    source, expense = "IP Source Register", "01-4000-00"
+    gl = spark.createDataFrame([(1, source, expense, D("50.00"), D("0.00")), (1, source, expense, D("0.00"), D("20.00")), (1, source, "01-2200-00", D("9.00"), D("0.00")),
+                                (2, source, expense, D("7.00"), D("0.00")), (2, source, expense, None, D("1.00")), (3, source, expense, D("0.00"), D("3.00")),
+                                (4, source, "01-2200-00", D("8.00"), D("0.00")), (5, source, expense, D("4.00"), D("4.00")), (None, source, expense, D("5.00"), D("0.00"))],
+                               "order_interliner_id long, source_type string, acct_code string, debit_amt decimal(18,2), credit_amt decimal(18,2)")
+    t = frames(order_interliner=oi, order_interliner_userfields=oi.select("order_interliner_id"), ip_gl=gl,
+               vendor=spark.createDataFrame([(5, "V5", "Five"), (6, None, "Six")], "vendor_id long, user3 string, name string"),
+               tlorder=spark.createDataFrame([(100, "C100"), (100, "C100"), (200, "C200")], "detail_line_id long, bill_number string"))
+    got = [(r.cntitem, r.vendid, r.idvend, r.idinvc, r.ordrnbr, r.amtgrostot) for r in ap.ap_user3_header(t, "2025-05-01").collect()]
+    assert got == [(1, 5, "V5", "C100", "PB1", D("30.00")), (2, 5, "V5", "C100", "PB1", D("30.00")),
+                   (3, 6, None, "C200", "PB2", D("7.00")), (4, None, None, None, "PB3", D("-3.00"))]
+
+
 def test_only_raw_rows_move_into_months(spark, sf_dir, tmp_path, monkeypatch):
     t = Tables(spark, sf_dir)
     seen = []
