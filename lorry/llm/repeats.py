@@ -46,19 +46,47 @@ WINDOW = DEPTH - GRAM + 1  # grams in a string
 SIDE = DEPTH - GRAM  # bytes of context on either side of an anchor
 #: one anchor in so many cuts a segment, if the last candidate is at least GAP bytes away
 CUT, GAP = 32, 64
+#: grams that a task packs at a time, grams in a bucket (some), bytes of a gram that are kept beside its bucket
+PACKED, BUCKET, LOW_BYTES = 1 << 20, 1 << 18, 5
 #: contexts of one anchor in one block, and contexts that make up a block
 MOST, BLOCK = 4000, 6000
 
 
+#: bytes that decide the order of grams
+LEAD = 16
+#: text that is worked through at a time (some twenty bytes of arrays a byte of it, to stay in a processor's cache)
+CHUNK = 1 << 17
+
+_VALUES = tv.constants(31, 256)
+_powers = [tv.powers(CHUNK), tv.powers(CHUNK, pow(tv.PRIME, -1, 1 << 64))]
+
+
 def _slide(x: np.ndarray, w: int, f) -> np.ndarray:
     """``f`` over every ``w`` neighbours (at the place of the first), by doubling."""
-    r, s = x.copy(), 1
+    s = 1
     while 2 * s <= w:
-        r[:-s] = f(r[:-s], r[s:])
+        x = f(x[:-s], x[s:])
         s *= 2
-    if w > s:
-        r[:s - w] = f(r[:s - w], r[w - s:])
-    return r
+    return f(x[:s - w], x[w - s:]) if w > s else x
+
+
+def _order(buf: np.ndarray) -> np.ndarray:
+    """What the ``LEAD`` bytes from every place on decide: 32 bits."""
+    x, s, odd = (_VALUES >> np.uint64(32)).astype(np.uint32)[buf], 1, 0x9E3779B1
+    while s < LEAD:
+        y = x[:-s] * np.uint32(odd)
+        y += x[s:]
+        x, s, odd = y, 2 * s, odd * odd & 0xFFFFFFFF
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x2C1B3C6D)
+    x ^= x >> np.uint32(13)
+    return x
+
+
+def _before(offs: np.ndarray, count: int, size: int) -> np.ndarray:
+    """The last ``count`` places of every text that are below ``size``."""
+    at = offs[1:, None] - np.arange(1, count + 1)
+    return at[(at >= offs[:-1, None]) & (at < size)]
 
 
 class Scan:
@@ -66,28 +94,28 @@ class Scan:
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray):
         n, self.offs = len(buf), offs
-        p = tv.powers(n + 1)
-        self.back = tv.powers(n + 1, pow(tv.PRIME, -1, 1 << 64))
+        p, self.back = _powers if n < CHUNK else (tv.powers(n + 1), tv.powers(n + 1, pow(tv.PRIME, -1, 1 << 64)))
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(tv.constants(31, 256)[buf] * p[:n], out=self.sums[1:])
-        size = np.diff(offs)
+        value = _VALUES[buf]
+        value *= p[:n]
+        np.cumsum(value, out=self.sums[1:])
         self.anchor = np.zeros(0, np.int64)
-        self.gram = np.zeros(0, np.uint64)
         if n >= DEPTH:
-            end = np.repeat(offs[1:], size)
-            place = np.arange(n - GRAM + 1)
-            whole = place + GRAM <= end[place]
-            g = np.where(whole, self.hash(place, place + GRAM), np.uint64(2**64 - 1))
-            low = _slide(g, WINDOW, np.minimum)
-            low[place + DEPTH > end[place]] = 0
-            best = _slide(np.concatenate([np.zeros(WINDOW - 1, np.uint64), low]), WINDOW, np.maximum)[:len(g)]
-            self.anchor = np.flatnonzero((g == best) & whole)
-            self.gram = g[self.anchor]
-        self.doc = np.searchsorted(offs, self.anchor, "right") - 1
+            g = _order(buf)[:n - GRAM + 1]
+            g[_before(offs, GRAM - 1, len(g))] = 2**32 - 1  # no whole gram
+            low = np.zeros(len(g) + WINDOW - 1, np.uint32)
+            low[WINDOW - 1:len(g)] = _slide(g, WINDOW, np.minimum)
+            low[_before(offs, DEPTH - 1, n - DEPTH + 1) + WINDOW - 1] = 0  # no whole string
+            self.anchor = np.flatnonzero(g == _slide(low, WINDOW, np.maximum))
+        edge = np.searchsorted(self.anchor, offs)
+        self.doc = np.repeat(np.arange(len(offs) - 1), np.diff(edge))
+        whole = self.anchor + GRAM <= offs[self.doc + 1]
+        self.anchor, self.doc = self.anchor[whole], self.doc[whole]
+        self.gram = self.hash(self.anchor, self.anchor + GRAM)
         # segments: from a cut to the next one and DEPTH - 1 bytes on
         cuts = self.anchor[self.gram % np.uint64(CUT) == 0]
         cuts = cuts[np.diff(np.concatenate([[-GAP], cuts])) >= GAP]
-        start = np.unique(np.concatenate([offs[:-1][size >= DEPTH], cuts]))
+        start = np.unique(np.concatenate([offs[:-1][np.diff(offs) >= DEPTH], cuts]))
         doc = np.searchsorted(offs, start, "right") - 1
         follow = np.append(start[1:], n)
         stop = np.minimum(np.minimum(follow, offs[doc + 1]) + DEPTH - 1, offs[doc + 1])
@@ -104,10 +132,10 @@ class Scan:
 
     def within(self, keep: np.ndarray) -> np.ndarray:
         """Which anchors lie in a segment (or what is beyond it) that is kept."""
-        change = np.zeros(len(self.sums) + 1, np.int64)
-        np.add.at(change, self.seg_start[keep], 1)
-        np.add.at(change, np.maximum(self.seg_stop[keep] - GRAM + 1, self.seg_start[keep]), -1)
-        return np.cumsum(change)[self.anchor] > 0
+        start, stop = self.seg_start[keep], self.seg_stop[keep]
+        change = np.bincount(np.searchsorted(self.anchor, start), minlength=len(self.anchor) + 1)
+        change -= np.bincount(np.searchsorted(self.anchor, np.maximum(stop - GRAM + 1, start)), minlength=len(change))
+        return np.cumsum(change[:-1]) > 0
 
     def contexts(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and stop of the strings around anchors."""
@@ -119,6 +147,12 @@ def segment_key(key: np.ndarray, start: np.ndarray) -> np.ndarray:
     return tv.mix(key.view(np.uint64) + start.astype(np.uint64) * np.uint64(tv.PRIME)).view(np.int64)
 
 
+def _turned(gram: np.ndarray) -> np.ndarray:
+    """Grams with their halves exchanged: a filter of these errs on other grams than one of the grams."""
+    x = gram.view(np.uint64)
+    return (x << np.uint64(32) | x >> np.uint64(32)).view(np.int64)
+
+
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64, copy=False), pa.int64())
 
@@ -126,7 +160,7 @@ def _long(x: np.ndarray) -> pa.Array:
 def _scans(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, Scan, np.ndarray]]:
     for b in it:
         doc, key = (np.asarray(b.column(c)) for c in (0, 1))
-        for lo, hi, buf, offs in tv.batches(b.column(2)):
+        for lo, hi, buf, offs in tv.batches(b.column(2), CHUNK - 1):
             yield doc[lo:hi], key[lo:hi], Scan(buf, offs), buf
 
 
@@ -148,17 +182,72 @@ def _segments(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(task, "segment long, doc long, key long, start long, stop long")
 
 
-def _anchors(rows: DataFrame, known, own) -> DataFrame:
-    """``gram, n``: anchors outside repeated segments, ``n`` 2 if in two documents of a chunk."""
-
-    def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated(rows: DataFrame, known, own, buckets: int) -> DataFrame:
+    """``gram`` (:func:`_short`) of anchors outside repeated segments that two
+    documents have, give or take some that differ in the bits left out.
+    Tasks deal their grams to ``buckets`` by their first bits, many to a row."""
+
+    def pack(held: list[np.ndarray]) -> pa.RecordBatch:
+        """A row for each bucket; a gram stands twice if two documents have it."""
+        h = np.sort(np.concatenate(held))
+        edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        h = np.repeat(h[edge], np.minimum(np.diff(np.append(edge, len(h))), 2))
+        bucket = (h >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64) if buckets > 1 else np.zeros(len(h), np.int64)
+        edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        offsets = np.append(edge, len(h)).astype(np.int32) * LOW_BYTES
+        low = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES])
+        grams = pa.Array.from_buffers(pa.binary(), len(edge), [None, pa.py_buffer(offsets), pa.py_buffer(low)])
+        return pa.RecordBatch.from_arrays([_long(bucket[edge]), grams], ["bucket", "grams"])
+
+    def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for _, key, s, _ in _scans(it):
             keep = _open(s, key, known.value, own.value)
-            h, _ = tv.distinct(s.gram[keep], s.doc[keep])
-            term, n = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_long(term), pa.array(np.minimum(n, 2).astype(np.int32))], ["gram", "n"])
+            # a gram counts once for a document
+            h, d = s.gram[keep], s.doc[keep]
+            order = np.argsort(h, kind="stable")
+            h, d = h[order], d[order]
+            once = np.ones(len(h), bool)
+            once[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+            held.append(h[once])
+            count += len(held[-1])
+            if count >= PACKED:
+                yield pack(held)
+                held, count = [], 0
+        if count:
+            yield pack(held)
+
+    def twice(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(bucket: int, held: list[bytes]) -> pa.RecordBatch:
+            raw = np.frombuffer(b"".join(held), np.uint8).reshape(-1, LOW_BYTES)
+            h = np.zeros((len(raw), 8), np.uint8)
+            h[:, :LOW_BYTES] = raw
+            h = np.sort(h.view(np.uint64).ravel())
+            h = np.unique(h[1:][h[1:] == h[:-1]])
+            if buckets > 1:
+                h |= np.uint64(bucket << 64 - buckets.bit_length() + 1)
+            return pa.RecordBatch.from_arrays([_long(h)], ["gram"])
+
+        held, now = [], None
+        for b in it:
+            for bucket, grams in zip(b.column("bucket").to_pylist(), b.column("grams").to_pylist(), strict=True):
+                if held and bucket != now:
+                    yield found(now, held)
+                    held = []
+                now = bucket
+                held.append(grams)
+        if held:
+            yield found(now, held)
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.mapInArrow(deal, "bucket long, grams binary").repartition(n, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(twice, "gram long"))
+
 
-    return rows.mapInArrow(task, "gram long, n int")
+def _short(gram: np.ndarray, buckets: int) -> np.ndarray:
+    """Grams without the bits that :func:`_repeated` leaves out: those between the bucket's and the low bytes."""
+    high = (buckets - 1) << 64 - buckets.bit_length() + 1 if buckets > 1 else 0
+    return (gram.view(np.uint64) & np.uint64(high | (1 << 8 * LOW_BYTES) - 1)).view(np.int64)
 
 
 def _open(s: Scan, key: np.ndarray, known: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -168,29 +257,36 @@ def _open(s: Scan, key: np.ndarray, known: np.ndarray, own: np.ndarray) -> np.nd
     return s.within(~in_filter(known, place) | in_filter(own, place))
 
 
-def _contexts(rows: DataFrame, known, own, grams, bytes_too: bool) -> DataFrame:
-    """``gram, context`` (its hash) of anchors in the filter ``grams``, and
-    where they are; with ``bytes_too`` the bytes instead of the places."""
+def _contexts(rows: DataFrame, known, own, grams, like, chosen=None) -> DataFrame:
+    """``gram, context`` (its hash) of anchors that are, as ``like`` makes them,
+    in the filter ``grams``, ``doc``, and where they are; with ``chosen``, a
+    filter of contexts and documents, the bytes of those instead of the places."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, key, s, buf in _scans(it):
-            which = np.flatnonzero(_open(s, key, known.value, own.value) & in_filter(grams.value, s.gram.view(np.int64)))
+            which = np.flatnonzero(in_filter(grams.value, like(s.gram)))
+            which = which[_open(s, key, known.value, own.value)[which]]
             start, stop = s.contexts(which)
-            fits = stop - start >= DEPTH
-            which, start, stop = which[fits], start[fits], stop[fits]
             c = s.hash(start, stop)
-            at = s.offs[s.doc[which]]
-            if bytes_too:
-                _, first = np.unique(tv.mix(s.gram[which]) ^ c, return_index=True)
-                raw = [buf[a:b].tobytes() for a, b in zip(start[first], stop[first], strict=True)]
-                yield pa.RecordBatch.from_arrays([_long(s.gram[which][first]), _long(c[first]), pa.array(raw, pa.binary())], ["gram", "context", "bytes"])
+            if chosen is None:
+                take = stop - start >= DEPTH
             else:
+                take = (stop - start >= DEPTH) & in_filter(chosen.value, segment_key(c.view(np.int64), doc[s.doc[which]]))
+            which, start, stop, c = which[take], start[take], stop[take], c[take]
+            own_doc = s.doc[which]
+            if chosen is None:
+                at = s.offs[own_doc]
                 yield pa.RecordBatch.from_arrays(
-                    [_long(s.gram[which]), _long(c), _long(doc[s.doc[which]]), _long(key[s.doc[which]]), _long(start - at), _long(stop - at)],
+                    [_long(s.gram[which]), _long(c), _long(doc[own_doc]), _long(key[own_doc]), _long(start - at), _long(stop - at)],
                     ["gram", "context", "doc", "key", "start", "stop"])
+            else:
+                _, first = np.unique(tv.mix(s.gram[which]) ^ c + own_doc.astype(np.uint64), return_index=True)
+                raw = [buf[a:b].tobytes() for a, b in zip(start[first].tolist(), stop[first].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([_long(s.gram[which][first]), _long(c[first]), _long(doc[own_doc[first]]), pa.array(raw, pa.binary())],
+                                                 ["gram", "context", "doc", "bytes"])
 
-    return rows.mapInArrow(task, "gram long, context long, bytes binary" if bytes_too
-                           else "gram long, context long, doc long, key long, start long, stop long")
+    return rows.mapInArrow(task, "gram long, context long, doc long, key long, start long, stop long" if chosen is None
+                           else "gram long, context long, doc long, bytes binary")
 
 
 def _index(contexts: DataFrame) -> DataFrame:
@@ -198,10 +294,11 @@ def _index(contexts: DataFrame) -> DataFrame:
     smallest document that has it in the block, and for anchors that are dealt
     to several blocks a hash of the string."""
     n = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = F.ceil(F.col("n") / MOST).cast("long")
+    dealt = F.coalesce(F.ceil(F.col("n") / MOST).cast("long"), F.lit(1).cast("long"))
     ready = (contexts.withColumn("part", F.pmod("context", dealt)).withColumn("several", dealt > 1)
-             .repartition(n, "gram", "part").sortWithinPartitions("gram", "part")
-             .select("gram", "part", "context", "first", "several", "bytes"))
+             .repartition(n, "gram", "part")
+             .groupBy("gram", "part", "context").agg(F.min("doc").alias("first"), F.first("several").alias("several"), F.first("bytes").alias("bytes"))
+             .sortWithinPartitions("gram", "part"))
 
     def answer(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(held).combine_chunks()
@@ -251,13 +348,17 @@ def _index(contexts: DataFrame) -> DataFrame:
 
 
 def _intervals(answered: DataFrame) -> DataFrame:
-    """``key, start, stop`` of the bytes to remove around anchors."""
+    """``key, start, stop`` of the bytes to remove around anchors: of those
+    with ``least`` string by string, of the others (whose context is the only
+    one of its anchor) all if ``lo`` is smaller than ``doc``."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            doc, key, start = (np.asarray(b.column(c)) for c in ("doc", "key", "start"))
+            doc, key, start, stop = (np.asarray(b.column(c)) for c in ("doc", "key", "start", "stop"))
+            lo = np.asarray(b.column("lo").fill_null(np.iinfo(np.int64).max))
+            whole = np.flatnonzero(lo < doc)
             lists = b.column("least")
-            n = np.diff(np.asarray(lists.offsets))
+            n = np.asarray(pa.compute.list_value_length(lists).fill_null(0))
             row = np.repeat(np.arange(len(n)), n)
             offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             hit = np.asarray(lists.flatten()) < doc[row]
@@ -266,9 +367,10 @@ def _intervals(answered: DataFrame) -> DataFrame:
             first[1:] = (row[1:] != row[:-1]) | (at[1:] - at[:-1] > DEPTH)
             lo = np.flatnonzero(first)
             hi = np.append(lo[1:], len(row)) - 1 if len(row) else lo
-            yield pa.RecordBatch.from_arrays([_long(key[row[lo]]), _long(at[lo]), _long(at[hi] + DEPTH)], ["key", "start", "stop"])
+            yield pa.RecordBatch.from_arrays(
+                [_long(np.concatenate(x)) for x in ((key[whole], key[row[lo]]), (start[whole], at[lo]), (stop[whole], at[hi] + DEPTH))], ["key", "start", "stop"])
 
-    return answered.select("doc", "key", "start", "least").mapInArrow(task, "key long, start long, stop long")
+    return answered.select("doc", "key", "start", "stop", "lo", "least").mapInArrow(task, "key long, start long, stop long")
 
 
 def marks(docs: DataFrame) -> DataFrame:
@@ -294,15 +396,26 @@ def marks(docs: DataFrame) -> DataFrame:
     known = sc.broadcast(graph.id_filter(met.where("doc > first").mapInArrow(places, kind), "place"))
     wrongly = segments.mapInArrow(named, kind).join(coarse, "segment", "left").where("first is null or doc <= first")
     own = sc.broadcast(graph.id_filter(wrongly, "place"))
-    repeated = stage(_anchors(rows, known, own).groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "repeated")
-    seen = stage(_contexts(rows, known, own, sc.broadcast(graph.id_filter(repeated, "gram")), False), "seen")
+    # about CUT anchors a segment
+    buckets = 1 << (segments.count() * CUT // BUCKET).bit_length()
+    repeated = stage(_repeated(rows, known, own, buckets), "repeated")
+    seen = stage(_contexts(rows, known, own, sc.broadcast(graph.id_filter(repeated, "gram")), lambda gram: _short(gram, buckets)), "seen")
     contexts = stage(seen.groupBy("gram", "context").agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "contexts")
-    grams = stage(contexts.groupBy("gram").agg(F.count("*").alias("n"), F.min("first").alias("lo"), F.max("last").alias("hi"))
+    grams = stage(contexts.groupBy("gram").agg(F.count("*").alias("n"), F.min("first").alias("lo"), F.max("last").alias("hi"), F.min("context").alias("context"))
                   .where("lo < hi"), "grams")
-    alone = seen.join(grams.where("n = 1"), "gram").where("doc > lo").select("key", "start", "stop")
     many = stage(grams.where("n > 1").select("gram", "n"), "many")
-    raw = _contexts(rows, known, own, sc.broadcast(graph.id_filter(many, "gram")), True).dropDuplicates(["gram", "context"])
-    listed = contexts.select("gram", "context", "first").join(many, "gram").join(raw, ["gram", "context"])
+    of_many = sc.broadcast(graph.id_filter(many.select(F.shiftleft("gram", 32).bitwiseOR(F.shiftrightunsigned("gram", 32)).alias("turned")), "turned"))
+
+    def first_owners(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            gram, context, first = (np.asarray(b.column(c)) for c in range(3))
+            own = in_filter(of_many.value, _turned(gram))
+            yield pa.RecordBatch.from_arrays([_long(segment_key(context[own], first[own]))], ["place"])
+
+    # each context's bytes are read from the smallest document that has it
+    chosen = stage(contexts.select("gram", "context", "first").mapInArrow(first_owners, "place long"), "chosen")
+    raw = _contexts(rows, known, own, of_many, _turned, sc.broadcast(graph.id_filter(chosen, "place")))
+    listed = raw.join(stage(many.where(F.col("n") > MOST), "dealt"), "gram", "left")
     index = stage(_index(listed), "index")
     single = index.where(F.size("digest") == 0).select("gram", "context", "least")
     parts = index.where(F.size("digest") > 0).select("gram", "context", F.posexplode(F.arrays_zip("least", "digest")).alias("at", "x")).select(
@@ -310,9 +423,10 @@ def marks(docs: DataFrame) -> DataFrame:
     best = stage(parts.groupBy("gram", "digest").agg(F.min("least").alias("best")), "best")
     together = (parts.drop("least").join(best, ["gram", "digest"]).groupBy("gram", "context")
                 .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "best"))), lambda s: s.best).alias("least")))
-    answers = stage(single.union(together), "answers")
+    alone = grams.where("n = 1").select("gram", "context", "lo", F.lit(None).cast("array<bigint>").alias("least"))
+    answers = stage(single.union(together).select("gram", "context", F.lit(None).cast("long").alias("lo"), "least").union(alone), "answers")
     around = _intervals(seen.join(answers, ["gram", "context"]))
-    return stage(whole.union(alone).union(around).groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "marks")
+    return stage(whole.union(around).groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "marks")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -328,24 +442,34 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            out = []
-            for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-                raw = text.encode()
-                keep, runs, at = [], [], 0
-                for s, e in sorted((x["start"], x["stop"]) for x in spans or ()):
-                    if runs and s <= runs[-1]["stop"]:
-                        runs[-1]["stop"] = max(e, runs[-1]["stop"])
-                    else:
-                        runs.append({"start": s, "stop": e})
-                for r in runs:
-                    keep.append(raw[at:r["start"]])
-                    at = r["stop"]
-                keep.append(raw[at:])
-                out.append((len(raw), sum(r["stop"] - r["start"] for r in runs), len(runs), b"".join(keep), runs))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"])
+            spans = b.column("spans")
+            count = np.asarray(pa.compute.list_value_length(spans).fill_null(0)).astype(np.int64)
+            edge = np.concatenate([[0], np.cumsum(count)])
+            flat = spans.flatten()
+            starts, stops = (np.asarray(flat.field(k)) for k in (0, 1))
+            for lo, hi, buf, offs in tv.batches(b.column("text"), CHUNK):
+                row = np.repeat(np.arange(hi - lo), count[lo:hi])
+                s, e = (x[edge[lo]:edge[hi]] + offs[row] for x in (starts, stops))
+                order = np.lexsort((s, row))
+                row, s, e = row[order], s[order], np.maximum.accumulate(e[order])
+                new = np.ones(len(row), bool)
+                new[1:] = (s[1:] > e[:-1]) | (row[1:] != row[:-1])
+                first = np.flatnonzero(new)
+                row, s, e = row[first], s[first], e[np.append(first[1:], len(e)) - 1] if len(first) else e
+                change = np.zeros(len(buf) + 1, np.int8)
+                np.add.at(change, s, 1)
+                np.add.at(change, e, -1)
+                kept = np.ascontiguousarray(buf[np.cumsum(change[:-1], dtype=np.int8) == 0])
+                size = np.diff(offs)
+                gone = np.bincount(row, e - s, hi - lo).astype(np.int64)
+                ends = np.concatenate([[0], np.cumsum(size - gone)]).astype(np.int32)
+                runs = np.bincount(row, minlength=hi - lo)
+                own = pa.StructArray.from_arrays([_long(s - offs[row]), _long(e - offs[row])], ["start", "stop"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(lo, hi - lo), _long(size), _long(gone), _long(runs),
+                     pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends), pa.py_buffer(kept)]),
+                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(runs)]), pa.int32()), own)],
+                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"])
 
     changed = met.mapInArrow(task, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,stop:long>>")
     zero = F.lit(0).cast("long")

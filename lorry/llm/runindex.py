@@ -11,8 +11,42 @@ from __future__ import annotations
 
 import numpy as np
 
-#: bytes that make up the first sorting key (as base-1024 digits of 63 bits)
-FIRST = 6
+def sorted_order(key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of keys from 0 to ``most``, and where in it a key
+    differs from the one before.  Keys that leave room for it are sorted as
+    numbers together with their places."""
+    n = len(key)
+    bits = max(1, (n - 1).bit_length())
+    new = np.ones(n, bool)
+    if int(most).bit_length() + bits <= 63:
+        both = key << bits
+        both |= np.arange(n)
+        both.sort()
+        order = both & ((1 << bits) - 1)
+        both >>= bits
+    else:
+        order = np.argsort(key, kind="stable")
+        both = key[order]
+    np.not_equal(both[1:], both[:-1], out=new[1:])
+    return order, new
+
+
+class Marks:
+    """A bit vector that counts its marks up to a place: a word and the count
+    before it for every 64 places."""
+
+    def __init__(self, marked: np.ndarray):
+        packed = np.packbits(marked, bitorder="little")
+        self.words = np.zeros((len(marked) >> 6) + 1, np.uint64)
+        self.words.view(np.uint8)[:len(packed)] = packed
+        count = np.bitwise_count(self.words).astype(np.int64)
+        self.before = np.cumsum(count) - count
+
+    def up_to(self, place: np.ndarray) -> np.ndarray:
+        """How many marks there are up to and with every place."""
+        word = place >> 6
+        below = self.words[word] << (63 - (place & 63)).astype(np.uint64)
+        return self.before[word] + np.bitwise_count(below)
 
 
 class RunIndex:
@@ -32,39 +66,37 @@ class RunIndex:
         self.string[at] = own
         self.string[ends] = np.arange(m)
         self.ends = ends
-        # ranks by ever longer prefixes; a prefix ends with its end mark
-        digit = np.where(symbol < m, 0, symbol - m + 1)
-        key = np.zeros(n, np.int64)
-        for j in range(FIRST):
-            key *= 512
-            key[:max(0, n - j)] += digit[j:]
-        # beyond an end mark the key must not reach into the next string
+        # ranks by ever longer prefixes; a prefix ends with its end mark. The first are as many
+        # bytes (numbered as they occur, 0 for an end mark) as fit in a key beside a place
+        used = np.bincount(text, minlength=256) > 0
+        base = int(used.sum()) + 1
+        digit = np.zeros(n, np.int64)
+        digit[at] = np.cumsum(used)[text]
+        room = 63 - max(1, (n - 1).bit_length())
+        first = 1
+        while first < depth and base ** (first + 1) < 1 << room:
+            first += 1
         left = np.empty(n, np.int64)
-        left[at] = (ends[own] - at)
+        left[at] = ends[own] - at
         left[ends] = 0
-        short = left < FIRST
-        cut = np.int64(512) ** np.maximum(FIRST - left, 0)
-        key = np.where(short, key // cut * cut, key)
-        # equal short suffixes differ in their end marks: a second key breaks the tie (a key
-        # is short or not, so the short ones are put in order among their own places)
-        order = np.argsort(key)
-        few = np.flatnonzero(short)
-        order[short[order]] = few[np.lexsort((self.string[few], key[few]))]
-        new = np.ones(n, bool)
-        k, t = key[order], np.where(short, self.string, -1)[order]
-        new[1:] = (k[1:] != k[:-1]) | (t[1:] != t[:-1])
+        key = np.zeros(n, np.int64)
+        for j in range(first):
+            key *= base
+            # beyond an end mark the key does not reach into the next string
+            key[:max(0, n - j)] += np.where(left[:max(0, n - j)] >= j, digit[j:], 0)
+        # equal short suffixes differ in their end marks, which come in the order of places
+        order, new = sorted_order(key, base ** first)
+        new |= (left < first)[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new) - 1
-        step, levels = FIRST, [(FIRST, rank)]
+        step, levels = first, [(first, rank)]
         longest = int(length.max()) + 1 if m else 0
         while step < longest and int(rank.max()) < n - 1:
             follow = np.zeros(n, np.int64)
             follow[:max(0, n - step)] = rank[step:]
             follow[left < step] = 0  # the rank is already that of a whole suffix
-            pair = rank * n + follow
-            order = np.argsort(pair)  # equal pairs get one rank, in whatever order
-            p = pair[order]
-            new[1:] = p[1:] != p[:-1]
+            follow += rank * n
+            order, new = sorted_order(follow, n * n)  # equal pairs get one rank
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(new) - 1
             step *= 2
@@ -80,11 +112,12 @@ class RunIndex:
             place = min(place, depth - step)
             alike &= by[np.minimum(a + place, n - 1)] == by[np.minimum(b + place, n - 1)]
             place += step
-        self.class_start = np.concatenate([[0], np.flatnonzero(~alike) + 1])
+        begins = np.concatenate([[True], ~alike])
+        self.class_start, self.class_marks = np.flatnonzero(begins), Marks(begins)
         # the transform, run by run
         before = symbol[suffix - 1]
         run = np.concatenate([[True], before[1:] != before[:-1]])
-        self.run_start = np.flatnonzero(run)
+        self.run_start, self.run_marks = np.flatnonzero(run), Marks(run)
         self.run_symbol = before[self.run_start]
         run_length = np.diff(np.append(self.run_start, n))
         self.run_end_sample = suffix[self.run_start + run_length - 1]
@@ -102,12 +135,12 @@ class RunIndex:
 
     def step(self, rank: np.ndarray) -> np.ndarray:
         """The rank of the suffix that begins one symbol earlier (LF mapping over runs)."""
-        run = np.searchsorted(self.run_start, rank, "right") - 1
+        run = self.run_marks.up_to(rank) - 1
         return self.run_to[run] + rank - self.run_start[run]
 
     def least_of(self, rank: np.ndarray) -> np.ndarray:
         """The least value among the strings that hold the suffix's first ``depth`` bytes."""
-        return self.least[np.searchsorted(self.class_start, rank, "right") - 1]
+        return self.least[self.class_marks.up_to(rank) - 1]
 
     def stream(self, length: np.ndarray, depth: int) -> np.ndarray:
         """Matching statistics of the block's own strings, all at once and from
@@ -118,8 +151,10 @@ class RunIndex:
         rank = np.arange(len(length), dtype=np.int64)  # of the end marks
         active = np.arange(len(length))
         for done in range(1, int(length.max()) + 1 if len(length) else 1):
-            active = active[length[active] >= done]
-            rank[active] = self.step(rank[active])
+            stays = length[active] >= done
+            if not stays.all():
+                active, rank = active[stays], rank[stays]
+            rank = self.step(rank)
             if done >= depth:
-                out[active, length[active] - done] = self.least_of(rank[active])
+                out[active, length[active] - done] = self.least_of(rank)
         return out

@@ -251,6 +251,85 @@ def test_repeats_against_brute_force(documents, monkeypatch):
     assert sorted((r.doc_id is not None, r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept), [(s.start, s.stop) for s in r.spans]) for r in got) == _brute_repeats(rows)
 
 
+def test_repeats_move_places_once_and_read_a_context_from_one_document(documents, monkeypatch):
+    rnd = random.Random(8)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(90))
+    rows = []
+    for k in range(40):  # every second text goes on differently beside the passage, so an anchor has several contexts
+        around = ["".join(rnd.choice("ijklmnop ") for _ in range(60)) for _ in range(2)] if k % 2 else ["q" * 60, "r" * 60]
+        rows.append((k, around[0] + passage + around[1]))
+    staged, listed = {}, []
+    stage, index = repeats.stage, repeats._index
+    monkeypatch.setattr(repeats, "stage", lambda df, label: staged.setdefault(label, (df, stage(df, label)))[1])
+    monkeypatch.setattr(repeats, "_index", lambda contexts: listed.append(contexts) or index(contexts))
+    got = repeats.remove_repeats(documents(rows)).collect()
+    assert sorted((r.doc_id is not None, r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept), [(s.start, s.stop) for s in r.spans]) for r in got) == _brute_repeats(rows)
+    # anchors meet their answers in one join, whether they have one context or several
+    assert staged["marks"][0]._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    # bytes of a context move once, from the smallest document
+    moved = listed[0].select("gram", "context", "doc").collect()
+    assert moved and len({(r.gram, r.context) for r in moved}) == len(moved)
+    assert {(r.gram, r.context, r.doc) for r in moved} <= {(r.gram, r.context, r.first) for r in staged["contexts"][1].collect()}
+
+
+def test_anchors_depend_on_the_string_alone():
+    rnd = random.Random(9)
+    texts = [bytes(rnd.choice(b"abc ") for _ in range(n)) for n in (0, 5, 27, 28, 49, 50, 51, 400, 0, 3000)]
+    texts += [b"a" * 300, texts[-1][1000:1100], b"ab" * 100, b""]
+    offs = np.cumsum([0, *map(len, texts)])
+    s = repeats.Scan(np.frombuffer(b"".join(texts), np.uint8), offs)
+    places = {}
+    for k, t in enumerate(texts):
+        own = s.anchor[s.doc == k] - offs[k]
+        for p in range(len(t) - 49):
+            inside = own[(own >= p) & (own + repeats.GRAM <= p + 50)] - p
+            assert len(inside)
+            # the least places of a string are anchors wherever it stands
+            places.setdefault(t[p:p + 50], []).append(set(inside.tolist()))
+    assert all(set.intersection(*x) for x in places.values())
+    assert all(a >= offs[d] and a + repeats.GRAM <= offs[d + 1] for a, d in zip(s.anchor, s.doc, strict=True))
+    keep = np.arange(len(s.seg_start)) % 2 == 0
+    inside = [any(a >= x and a < max(y - repeats.GRAM + 1, x) for x, y in zip(s.seg_start[keep], s.seg_stop[keep], strict=True)) for a in s.anchor]
+    assert s.within(keep).tolist() == inside
+
+
+def test_grams_of_two_documents_are_found_in_buckets(documents, monkeypatch):
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choices("abcdefgh ", k=300)) for _ in range(30)]
+    rows = [(k, t + texts[k // 2]) for k, t in enumerate(texts)] + [(40, "x" * 200), (41, texts[3])]
+    docs = documents(rows)
+    nothing = docs.sparkSession.sparkContext.broadcast(np.zeros(1 << 10, np.uint64))
+    s = repeats.Scan(*(lambda raw: (np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])))([t.encode() for _, t in rows]))
+    for buckets in (1, 2, 64):
+        owners = {}
+        for g, d in zip(repeats._short(s.gram, buckets).tolist(), s.doc.tolist(), strict=True):
+            owners.setdefault(g, set()).add(d)
+        for n in (1, 5):
+            found = [r.gram for r in repeats._repeated(repeats._rows(docs).repartition(n), nothing, nothing, buckets).collect()]
+            assert sorted(found) == sorted(g for g, d in owners.items() if len(d) > 1)
+
+
+def test_marks_are_counted_up_to_a_place():
+    rnd = np.random.default_rng(3)
+    for n in (1, 63, 64, 65, 1000):
+        marked = rnd.random(n) < 0.3
+        assert runindex.Marks(marked).up_to(np.arange(n)).tolist() == np.cumsum(marked).tolist()
+    for most in (50, 2**62):  # by sorting numbers with their places, and without
+        key = rnd.integers(0, 50, 300)
+        order, new = runindex.sorted_order(key, most)
+        assert order.tolist() == np.argsort(key, kind="stable").tolist()
+        assert new.tolist() == [True, *(np.diff(key[order]) != 0).tolist()]
+
+
+def test_repeats_of_texts_longer_than_a_chunk(documents):
+    rnd = random.Random(10)
+    base = "".join(rnd.choices("abcdefgh é", k=repeats.CHUNK + 5000))
+    far = len(base) - 3000
+    rows = [(3, base), (1, base[100:700]), (2, base[far:] + base[:200]), (None, base[far + 1000:far + 1080]), (5, base[300:350]), (4, None)]
+    got = repeats.remove_repeats(documents(rows)).collect()
+    assert sorted((r.doc_id is not None, r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept), [(s.start, s.stop) for s in r.spans]) for r in got) == _brute_repeats(rows)
+
+
 def test_repeats_of_an_empty_table(documents):
     assert repeats.remove_repeats(documents([])).count() == 0
 
