@@ -7,9 +7,10 @@ document with a smaller id; strings are judged on the input.  Jobs:
    segment (with ``DEPTH`` - 1 bytes beyond it) that a smaller document also
    has is repeated as a whole; such segments are marked and take no further
    part, as any string in them first occurs in a segment that is not;
-2. every string of ``DEPTH`` bytes holds an anchor: the ``GRAM`` bytes of
-   lowest hash in it.  Anchors that occur in two documents are kept, with
-   their contexts (all strings around them); equal contexts count once;
+2. every string of ``DEPTH`` bytes holds an anchor: the ``GRAM`` bytes in it
+   whose first ``LEAD`` have the lowest hash.  Anchors that occur in two
+   documents are kept, with their contexts (all strings around them); equal
+   contexts count once;
 3. the contexts of an anchor with several of them go to one block, or are
    dealt to several if there are more than ``MOST``.  A block builds the
    run-compressed Burrows-Wheeler transform of its contexts, streams them
