@@ -197,3 +197,49 @@ def test_detail_numbers_narrow_rows(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(numbering, "stage", lambda df, label, real=numbering.stage: seen.append(df.columns) or real(df, label))
     ap.ap_v1_detail(Tables.at(spark, sf_dir), "2025-01-01")
     assert len(seen) == 1 and not {"probill", "description", "amtgrostot"} & set(seen[0])
+
+
+def test_intercompany_of_most_bills_stores_no_tables(spark, sf_dir, tmp_path):
+    (tmp_path / "tables").symlink_to(sf_dir)  # what is stored is stored by path
+    t = Tables(spark, f"{tmp_path}/tables")
+    with settings(spark, **UNJOINED):
+        df = intercompany.intercompany_v3(t, ("1990-01-01", "2030-12-31"))
+        assert moved(spark, df, "share") == 0  # it follows the sort
+    assert not any(t._complete(t._prepared_path(name)) for name in ("tlorder", "legsum", "ilegdtl", "order_interliner", "trip"))
+
+
+def test_dealt_views_equal_the_plain_ones_and_are_not_moved_again(spark, sf_dir):
+    odd = [(1, 1, 5, 50, 1.0, 10.0, "R", "F"), (1, 1, 4, 60, 2.0, 20.0, "A", "O"), (1, 2, 3, None, None, 30.0, None, "F"), (None, 1, 2, 70, 4.0, 5.0, "N", None),
+           (2, None, 1, 80, 5.0, 50.0, "R", "O"), (None, None, 7, 80, 6.0, None, "R", "O"), (1, 11, 9, 90, 7.0, 70.0, "A", "F"), (2, 1, 9, 90, 8.0, 80.0, "A", "F")]
+    lineitem = spark.createDataFrame(
+        [(*r[:2], *r[2:], datetime.datetime(2020, 1, i + 1)) for i, r in enumerate(odd)],
+        "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    hand = Tables(spark, sf_dir, prepared=False)
+    hand._frames["lineitem"] = lineitem
+    for t in (Tables(spark, sf_dir, prepared=False), hand):
+        for name, column in [*sources.DEALT, *sources.DEALT_BELOW]:
+            got, want = t.live(name, by=column), t.live(name)
+            assert got.columns == want.columns and got.count() == want.count() > 0
+            assert not got.exceptAll(want).take(1) and not want.exceptAll(got).take(1), (name, column)
+            plan = got.groupBy(column).count()._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == (2 if name in ("ilegdtl", "legdtl") else 1), (name, plan)
+
+
+def test_long_periods_are_read_live_unless_the_months_are_stored(spark, sf_dir, tmp_path):
+    (tmp_path / "tables").symlink_to(sf_dir)
+    t, day = Tables(spark, f"{tmp_path}/tables"), datetime.date
+    whole = t.period("tlorder", "actual_delivery", day(1990, 1, 1), day(2030, 12, 31))
+    assert not t._written("tlorder") and whole.count() == t.live("tlorder").where("actual_delivery is not null").count() > 0
+    month = t.period("tlorder", "actual_delivery", day(1996, 2, 1), day(1996, 2, 29))
+    assert t._written("tlorder") and month.count() == whole.where("actual_delivery between '1996-02-01' and '1996-02-29'").count()
+    assert "_month" in t.period("tlorder", "actual_delivery", day(1990, 1, 1), day(2030, 12, 31))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pay_and_miles_go_to_the_legs_of_their_carrier(spark):
+    x = spark.createDataFrame([(1, 10, 7), (2, 10, 8), (3, 10, None)], "leg int, ls_trip_number int, ls_interliner int")
+    trip = spark.createDataFrame([(10, "a"), (None, "b")], "trip_number int, name string")
+    cm = spark.createDataFrame([(10, 7, 5), (10, 9, 6), (10, None, 9)], "_cm_trip int, _cm_carrier int, total_carrier_miles long")
+    got = intercompany._with_trip(x, trip, cm, None)
+    assert sorted((r.leg, r.name, r.total_carrier_miles) for r in got.collect()) == [(1, "a", 5), (2, "a", None), (3, "a", None)]
+    with settings(spark, **UNJOINED):
+        assert moved(spark, intercompany._with_trip(x, trip, cm, None), "leg") == 1
