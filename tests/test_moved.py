@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from lorry.operators import numbering
+from lorry.operators import lookups, numbering
 from lorry.plans import ap, ar, contract, intercompany, margin
 from lorry.sources import tables as sources
 from lorry.sources.tables import Tables
@@ -243,3 +243,22 @@ def test_pay_and_miles_go_to_the_legs_of_their_carrier(spark):
     assert sorted((r.leg, r.name, r.total_carrier_miles) for r in got.collect()) == [(1, "a", 5), (2, "a", None), (3, "a", None)]
     with settings(spark, **UNJOINED):
         assert moved(spark, intercompany._with_trip(x, trip, cm, None), "leg") == 1
+
+
+def test_margin_bills_move_once_before_their_trips_and_are_not_stored(spark, sf_dir, tmp_path):
+    (tmp_path / "tables").symlink_to(sf_dir)  # what is stored is stored by path
+    t = Tables(spark, f"{tmp_path}/tables")
+    with settings(spark, **UNJOINED):
+        df = margin.gross_margin(t)
+        # to their site (broadcast where sites are few), to their trips' rows, with these to the legs, and by the sort
+        assert moved(spark, df, "shipper_address1") == 4 and moved(spark, df, "tlt_charge") == moved(spark, df, "hazmat") == 0
+    assert not t._written("tlorder")
+
+
+def test_lookup_with_a_condition_beside_the_key(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 6, "b"), (1, None, "c"), (None, 5, "d"), (2, 5, "e")], "k int, m int, v string")
+    table = spark.createDataFrame([(1, 5, "x"), (1, 5, "y"), (1, 7, "z"), (None, 5, "n"), (2, None, "o")], "k int, n int, w string")
+    got = lookups.lookup(df, table, "k", ("v",), also=lookups.beside("m", "n"))
+    assert got.columns == ["k", "m", "v", "_spread_k", "n", "w"]
+    key = lambda r: tuple(x or "" for x in r)
+    assert sorted(((r.v, r.w) for r in got.collect()), key=key) == [("a", "x"), ("a", "y"), ("b", None), ("c", None), ("d", None), ("e", None)]
