@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from lorry.functions import columns
 from lorry.operators import lookups, numbering
 from lorry.plans import ap, ar, contract, intercompany, margin
 from lorry.sources import tables as sources
@@ -262,3 +263,14 @@ def test_lookup_with_a_condition_beside_the_key(spark):
     assert got.columns == ["k", "m", "v", "_spread_k", "n", "w"]
     key = lambda r: tuple(x or "" for x in r)
     assert sorted(((r.v, r.w) for r in got.collect()), key=key) == [("a", "x"), ("a", "y"), ("b", None), ("c", None), ("d", None), ("e", None)]
+
+
+def test_decimals_are_held_narrow_only_if_all_fit(spark):
+    df = spark.createDataFrame([(D("1.25"), D("9999999999999999.99"), D("1.5")), (D("-3.00"), D("-10000000000000000.00"), None), (None, None, None)],
+                               "a decimal(24,2), b decimal(24,2), c decimal(10,2)")
+    narrow, own = columns.held_narrow(df, ["a", "b", "c"])
+    assert [narrow.schema[c].dataType.simpleString() for c in "abc"] == ["decimal(18,2)", "decimal(24,2)", "decimal(10,2)"]
+    back = narrow.select(*[own(c) for c in "abc"])
+    assert back.schema == df.schema and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    empty, own = columns.held_narrow(df.where("a > 5"), ["a", "b"])
+    assert empty.select(own("a")).schema["a"].dataType == df.schema["a"].dataType and empty.count() == 0
