@@ -83,3 +83,26 @@ def test_a_table_that_loses_and_regains_all_rows(spark, t):
     assert StopSheet(none, p).rows().count() == 0 and not _files(StopSheet(none, p))
     StopSheet(some, p).refresh(legs)
     assert _rows(StopSheet(some, p).rows()) == _rows(stop_rows(some)) != Counter()
+
+
+def test_earlier_tables_and_stop_rows_store_no_bills(spark, sf_dir, tmp_path):
+    (tmp_path / "tables").symlink_to(sf_dir)  # what is stored is stored by path
+    t = Tables(spark, f"{tmp_path}/tables")
+    got = stop_sheet.stops_after_changes(t, f"{tmp_path}/sheet")
+    assert _rows(got) == _rows(stop_rows(t)) and got.count() > 0
+    assert not t._written("tlorder")
+
+
+def test_long_rows_are_compared_by_hashes_of_all_columns(spark):
+    names = [f"c{i}" for i in range(stop_sheet.LONG_ROW + 2)]
+    schema = "key long, " + ", ".join(f"{c} {'string' if i % 2 else 'long'}" for i, c in enumerate(names))
+
+    def table(*rows):
+        return spark.createDataFrame([(k, *(v.get(c) for c in names)) for k, v in rows], schema)
+
+    old = table((1, {"c0": 5}), (2, {"c0": 5}), (3, {"c1": "a"}), (4, {}), (5, {"c2": 1}), (5, {"c2": 1}), (6, {"c3": "x"}), (None, {"c0": 1}))
+    new = table((1, {"c0": 5}), (2, {"c2": 5}), (3, {"c3": "a"}), (4, {"c1": ""}), (5, {"c2": 1}), (7, {}), (None, {"c0": 2}))
+    got = changed_keys(old, new, "key")
+    assert {r.key for r in got.collect()} == {2, 3, 4, 5, 6, 7, None}
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in text and not any("c0#" in line for line in text.splitlines() if "hashpartitioning" in line)
