@@ -274,3 +274,20 @@ def test_decimals_are_held_narrow_only_if_all_fit(spark):
     assert back.schema == df.schema and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     empty, own = columns.held_narrow(df.where("a > 5"), ["a", "b"])
     assert empty.select(own("a")).schema["a"].dataType == df.schema["a"].dataType and empty.count() == 0
+
+
+def test_grouped_views_move_raw_rows_and_nothing_else(spark, sf_dir):
+    t = Tables(spark, sf_dir, prepared=False)
+    for name in sources.GROUPED:
+        text = t[name]._jdf.queryExecution().executedPlan().toString()
+        moves = [line for line in text.splitlines() if "Exchange" in line]
+        assert moves and all("REPARTITION_BY_COL" in line for line in moves), (name, text)
+
+
+def test_a_sheet_of_all_legs_stores_no_bills_and_zones_of_its_legs_once(spark, sf_dir, tmp_path, monkeypatch):
+    (tmp_path / "tables").symlink_to(sf_dir)  # what is stored is stored by path
+    t, seen = Tables(spark, f"{tmp_path}/tables"), []
+    monkeypatch.setattr(contract, "stage", lambda df, label, real=contract.stage: seen.append(label) or real(df, label))
+    assert contract.carrier_contract(t).count() > 0
+    assert seen.count("contract-stops-zones") == 1
+    assert not t._written("tlorder")
